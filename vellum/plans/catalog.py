@@ -1,0 +1,6 @@
+"""Every query of the engine with its SQL, by name."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
