@@ -7,13 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import format_duplicates, leakage, mixing
+from . import format_duplicates, leakage, mixing, near_duplicates, shared_spans
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans.stretches(table(spark, d, "documents"))
+
+
+def p4_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans.coverage(table(spark, d, "documents"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.members(table(spark, d, "documents"))
+
+
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.groups(table(spark, d, "documents"))
+
+
 def _entries(spark: SparkSession, d: str) -> DataFrame:
     docs = format_duplicates.document_entries(table(spark, d, "documents"))
     return docs.unionByName(format_duplicates.record_entries(table(spark, d, "records")))
@@ -63,5 +79,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p6_found, p6_contents, p8_found, p8_report, p9_found, p9_mixture, p9_shares)
+    f.__name__: f for f in (p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p8_found, p8_report, p9_found, p9_mixture, p9_shares)
 }

@@ -11,8 +11,8 @@ of them one by one would shuffle a row per character.  Instead:
    nodes, and whether all occurrences leave by the same edge and come by the same edge.  Joined
    back to the sources, runs of such nodes are nonbranching paths: whoever holds one of their
    nodes holds the whole path, so all windows of the path are shared and need no comparison.
-3. **Verification.**  What is left are windows over a branching node all of whose anchors are
-   repeated.  They are compared in full by their source coordinates: grouped by their own anchor,
+3. **Verification.**  What is left are windows over a branching node whose own anchor is
+   repeated (without that they cannot be shared).  They are compared in full by their source coordinates: grouped by their own anchor,
    or, where an anchor is held by very many rows, as single window hashes in a plain aggregation.
 4. The windows' union per document is the result.
 
@@ -157,9 +157,9 @@ def _paths_of(ids, texts, marks) -> Iterator[pa.RecordBatch]:
     t = np.searchsorted(at, x + WINDOW - 1, side="right") - 1
     direct = _all_from(leaves)[t] <= _all_up_to(comes)[s]
     direct &= np.maximum(_all_from(leaves)[t], s) <= np.minimum(_all_up_to(comes)[s], t)
-    possible = (_all_up_to(repeated)[s] >= t) & ~direct
     keys = np.asarray(ids, dtype=np.int64)
     j = np.searchsorted(at, anchor)
+    possible = repeated[j] & ~direct
 
     def runs(mask: np.ndarray, split: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         k = np.flatnonzero(mask)
