@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import format_duplicates, leakage, mixing, near_duplicates, shared_spans
+from . import format_duplicates, leakage, mixing, near_duplicates, repetition, shared_spans
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.repeating(table(spark, d, "documents"))
+
+
+def p2_shares(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    exact = repetition.exact_shares(docs)
+    share = F.when(F.col("folded_chars") > 0, F.round(F.col("repeated_chars") / F.col("folded_chars"), 6)).otherwise(0.0)
+    return repetition.judged(docs).join(exact, "doc_id").withColumn("repeated_share", share)
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.stretches(table(spark, d, "documents"))
 
@@ -79,5 +90,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p8_found, p8_report, p9_found, p9_mixture, p9_shares)
+    f.__name__: f for f in (p2_found, p2_shares, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p8_found, p8_report, p9_found, p9_mixture, p9_shares)
 }
