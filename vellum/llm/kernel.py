@@ -30,6 +30,26 @@ def letter_digit_mask() -> np.ndarray:
     return keep
 
 
+#: Classes of ``character_classes``.
+BLANK, LETTER, DIGIT, MARK, SYMBOL, CODE, WIDE = range(7)
+
+
+@lru_cache(1)
+def character_classes() -> np.ndarray:
+    """For every code point its class; code symbols and letters of scripts without word blanks apart."""
+    table = np.zeros(0x110000, dtype=np.uint8)
+    major = {"L": LETTER, "N": DIGIT, "M": MARK, "P": SYMBOL, "S": SYMBOL}
+    cat = unicodedata.category
+    for cp in range(0x110000):
+        table[cp] = major.get(cat(chr(cp))[0], BLANK)
+    for c in "{}<>\\=|_#$%^&@~`[]":
+        table[ord(c)] = CODE
+    for lo, hi in ((0x0E00, 0x0EFF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF)):
+        part = table[lo : hi + 1]
+        part[part == LETTER] = WIDE
+    return table
+
+
 def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 

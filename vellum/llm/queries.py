@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import format_duplicates, leakage, mixing, near_duplicates, repetition, shared_spans
+from . import format_duplicates, leakage, mixing, near_duplicates, quality, repetition, shared_spans
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,6 +54,14 @@ def p6_contents(spark: SparkSession, d: str) -> DataFrame:
     return format_duplicates.contents(_entries(spark, d))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return quality.not_prose(table(spark, d, "documents"))
+
+
+def p7_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return quality.kinds(table(spark, d, "documents"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -90,5 +98,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_shares, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p8_found, p8_report, p9_found, p9_mixture, p9_shares)
+    f.__name__: f for f in (p2_found, p2_shares, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_shares)
 }
