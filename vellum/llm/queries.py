@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import format_duplicates, leakage, mixing, near_duplicates, quality, repetition, shared_spans
+from . import format_duplicates, leakage, mixing, near_duplicates, quality, repetition, shared_spans, truncation
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -97,6 +97,18 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(materialize(_by_tokens(spark, d), "sizes"), table(spark, d, "mix_targets"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(table(spark, d, "documents"))
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.rates(table(spark, d, "documents"))
+
+
+def p10_limits(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.limits(truncation.endings(table(spark, d, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_shares, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_shares)
+    f.__name__: f for f in (p2_found, p2_shares, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_shares, p10_found, p10_rates, p10_limits)
 }
