@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import format_duplicates, leakage, mixing, near_duplicates, quality, repetition, shared_spans, truncation
+from . import format_duplicates, leakage, mixing, near_duplicates, quality, repetition, sentences, shared_spans, truncation
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,14 @@ def p2_shares(spark: SparkSession, d: str) -> DataFrame:
     return repetition.judged(docs).join(exact, "doc_id").withColumn("repeated_share", share)
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sample_ends(table(spark, d, "documents"), table(spark, d, "sentence_sample"))
+
+
+def p3_units(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.split_sentences(table(spark, d, "documents"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.stretches(table(spark, d, "documents"))
 
@@ -110,5 +118,5 @@ def p10_limits(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_shares, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_shares, p10_found, p10_rates, p10_limits)
+    f.__name__: f for f in (p2_found, p2_shares, p3_found, p3_units, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_shares, p10_found, p10_rates, p10_limits)
 }
