@@ -52,6 +52,7 @@ def masked(text: Column) -> Column:
     # addresses
     x = F.regexp_replace(x, r"(?<=\w)\.(?=\w)", DOT)
     # initials, single letters before a stop in Arabic and Devanagari text, and abbreviations
+    x = F.regexp_replace(x, r"(?U)(?<![\w])(\p{Ll})\.(?=\s?\p{L}\.)", "$1" + DOT)
     x = F.regexp_replace(x, r"(?U)(?<![\w])(\p{Lu}|\p{InArabic})\.(?=\s*[\p{L}\d])", "$1" + DOT)
     x = F.regexp_replace(x, rf"(?U)(?<![\w])({_alternatives(ABBREVIATIONS)})\.(?=\s)", "$1" + DOT)
     x = F.regexp_replace(x, rf"(?U)(?<![\w])({_alternatives(LETTERED)})\.(?=\s)", "$1" + DOT)
