@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import format_duplicates, leakage, mixing, near_duplicates, quality, repetition, sentences, shared_spans, truncation
+from . import format_duplicates, leakage, mixing, near_duplicates, quality, repetition, scanned, sentences, shared_spans, truncation
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return scanned.noisy_lines(table(spark, d, "documents"))
+
+
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scanned.examined(table(spark, d, "documents")).select("doc_id", "paged", "repaired")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repeating(table(spark, d, "documents"))
 
@@ -118,5 +126,5 @@ def p10_limits(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_shares, p3_found, p3_units, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_shares, p10_found, p10_rates, p10_limits)
+    f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_shares, p3_found, p3_units, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_shares, p10_found, p10_rates, p10_limits)
 }
