@@ -59,13 +59,13 @@ def fold_many(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     low = [t.lower() for t in texts]
     cp = points("".join(low))
     kept = letter_digit_mask()[cp]
-    ends = np.cumsum([len(t) for t in low])
+    ends = np.cumsum([len(t) for t in low], dtype=np.int64)
     before = np.concatenate([[0], np.cumsum(kept)])
     return cp[kept], np.concatenate([[0], before[ends]]).astype(np.int64)
 
 
 def raw_many(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    return points("".join(texts)), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    return points("".join(texts)), np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]).astype(np.int64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -62,7 +62,7 @@ def masked(text: Column) -> Column:
     # days of the month
     x = F.regexp_replace(x, rf"(?U)(?<=\b(?:{'|'.join(BEFORE_DAY)})\s)(\d{{1,2}})\.(?=\s+\p{{L}})", "$1" + DOT)
     # marks inside closed quotations
-    spans = "|".join(f"{re.escape(a)}[^{re.escape(a + b)}\\n]*(?:\\n(?!\\s*\\n)[^{re.escape(a + b)}\\n]*)*[{re.escape(b)}]" for a, b in _QUOTED)
+    spans = "|".join(f"{re.escape(a)}[^{re.escape(a + b)}\\n]*(?:\\n(?!\\s*\\n)[^{re.escape(a + b)}\\n]*){{0,200}}[{re.escape(b)}]" for a, b in _QUOTED)
     first = "".join(a for a, _ in _QUOTED)
     segments = F.regexp_extract_all(x, F.lit(f"(?s)(?:{spans}|[^{first}]+|.)"), F.lit(0))
     quoted = F.transform(segments, lambda s: F.when(F.length(s) > 1, F.when(F.substring(s, 1, 1).isin(*first), F.translate(s, MARKS, MASKED)).otherwise(s)).otherwise(s))
@@ -89,7 +89,7 @@ def script(text: Column) -> Column:
 
 _HAN_CLOSERS = "」』”’）)】》"
 _INNER = f"[{MASKED}](?=[ \\u00a0\\u202f]?[”»“」』›\"])"
-_TAIL = f"(?:[ \\u00a0\\u202f]?[”»›]|[{_CLOSERS}])*"
+_TAIL = f"[{_CLOSERS}]*+(?:[ \\u00a0\\u202f][”»›][{_CLOSERS}]*+)?"
 #: Words that go on after speech in Chinese, where no blank tells.
 _GO_ON = "然后|于是|接着|便|就|并|而|[，、；：]"
 
@@ -99,13 +99,13 @@ def _cuts(x: Column, kind: Column) -> Column:
     empty_line = F.regexp_replace(x, r"(?U)(?<=\S)(?=[^\S\n]*\n\s*\n)", CUT)
     cased = F.regexp_replace(
         empty_line,
-        rf"(?U)((?:[.!?…]|{_INNER})+{_TAIL})(?=\s+[{_OPENERS}\s]*[\p{{Lu}}\d])",
+        rf"(?U)(?<![.!?…])((?:[.!?…]++|{_INNER})+{_TAIL})(?=\s+[{_OPENERS}\s]*[\p{{Lu}}\d])",
         "$1" + CUT,
     )
     caseless = F.regexp_replace(
-        empty_line, rf"(?U)((?:[।؟!?۔]|(?<![\p{{Nd}}])\.|{_INNER}(?=[{_CLOSERS}]+\s+[{_OPENERS}]))+{_TAIL})(?=\s)", "$1" + CUT
+        empty_line, rf"(?U)(?<![।؟!?۔])((?:[।؟!?۔]++|(?<![\p{{Nd}}])\.|{_INNER}(?=[{_CLOSERS}]+\s+[{_OPENERS}]))+{_TAIL})(?=\s)", "$1" + CUT
     )
-    han = F.regexp_replace(empty_line, rf"(?s)((?:[。！？．]|[.!?](?=\s))+[{_HAN_CLOSERS}]*)(?=.)", "$1" + CUT)
+    han = F.regexp_replace(empty_line, rf"(?s)(?<![。！？．])((?:[。！？．]++|[.!?](?=\s))+[{_HAN_CLOSERS}]*)(?=.)", "$1" + CUT)
     han = F.regexp_replace(han, rf"(?s)((?<=[：:])“[^”]*[{MASKED}]”)(?!{_GO_ON})(?=.)", "$1" + CUT)
     thai = F.regexp_replace(empty_line, r"(?U)(?<=[^\s\d])(?=\s+[^\s\d])", CUT)
     return F.when(kind == "thai", thai).when(kind == "han", han).when(kind == "caseless", caseless).otherwise(cased)

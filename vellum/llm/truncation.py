@@ -33,6 +33,11 @@ _PAGE = re.compile(
     r"^[\W_]*(?:p\.|pp\.|page|s\.|seite|pág\.|pag\.|с\.|стр\.|ص\.?|पृ\.?|頁|页|第)?[\W_]*(?:[0-9lIoOSsBZ|]{1,5}|[ivxlcIVXLC1]{1,8}|\d+\s*(?:頁|页|ページ))[\W_]*$",
     re.I,
 )
+def _page(line: str) -> bool:
+    """A page number and nothing else; such lines are short."""
+    return len(line) <= 40 and bool(_PAGE.match(line))
+
+
 _SIGNED = re.compile(r"^[—–~―-]\s*\S")
 _SPACED_STOP = re.compile(r"[\d" + re.escape(_STOP) + "]")
 _TAILED = re.compile(r"[.!?…。！？।؟][\"'”»’“)\]]*\s+[—–\-\[(]*\s*\d{1,4}\s*[—–\-\])]*\s*$")
@@ -100,10 +105,10 @@ def ending(text: str) -> tuple | None:
         and (inside >= max(1, 0.15 * len(lines)) or (len(lines) > 1 and line_ends >= 0.6 * (len(lines) - 1)) or (len(lines) <= 2 and mid > 0))
         and (mid + line_ends) * (1 if spaceless else 60) >= (1 if spaceless else words)
     )
-    pages = sum(1 for x in lines if _PAGE.match(x))
-    numbered = bool(_PAGE.match(last)) and len(lines) > 1 and (pages > 1 or _ends(lines[-2]))
-    open_ = bool(bare) and bare[-1] not in _STOP and not numbered and not _TAILED.search(last)
-    foot = next((x for x in reversed(lines[1:]) if not _PAGE.match(x)), "")
+    pages = sum(1 for x in lines if _page(x))
+    numbered = _page(last) and len(lines) > 1 and (pages > 1 or _ends(lines[-2]))
+    open_ = bool(bare) and bare[-1] not in _STOP and not numbered and not _TAILED.search(last[-60:])
+    foot = next((x for x in reversed(lines[1:]) if not _page(x)), "")
     closer = pattern_of(foot) if foot and not _ends(foot) else None
     tail = last.rstrip(_QUOTES + " ").lstrip("—–~―- ")
     tail_words = tail.split()
@@ -119,7 +124,7 @@ def ending(text: str) -> tuple | None:
     if spaceless and len(last) <= 6 and not any(c in "、，「（" for c in last):
         named = True
     broken = "�" in text[-3:] or (bool(bare) and bare[-1] in ",،、，;:")
-    before = len(lines) > 1 and (_ends(lines[-2]) or bool(_PAGE.match(lines[-2])))
+    before = len(lines) > 1 and (_ends(lines[-2]) or _page(lines[-2]))
     repeated = len(last) >= 8 and last in lines[:-1]
     stops = mid + line_ends > 0 and letters >= marks * solid and (running or inside > 0)
     return last, pattern_of(last), closer, open_ and not repeated, running, stops, broken, named and len(lines) > 1, before
