@@ -27,27 +27,31 @@ COUNTERS = (
     "blank_lines_collapsed",
 )
 VERSION = "0.4.0"
+FIELDS = (*COUNTERS, "unicode_chars_changed", "chars_before")
 #: Ligatures and what they stand for.
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 
 
 def start(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds an empty record ``repair`` and the evidence columns."""
+    """Adds the empty record, one column a field until ``packed`` or ``metrics`` make a struct of them:
+    a struct that is taken apart and put together at every step would be inlined each time."""
     zero = F.lit(0).cast("long")
-    record = F.struct(*[zero.alias(c) for c in COUNTERS], zero.alias("unicode_chars_changed"), F.length(text).cast("long").alias("chars_before"))
-    return df.withColumn("repair", record).withColumn("_evidence", F.struct(F.lit(0.0).alias("weight"), zero.alias("count")))
+    fresh = {f"_r_{f}": zero for f in FIELDS} | {"_r_chars_before": F.length(text).cast("long"), "_e_weight": F.lit(0.0), "_e_count": zero}
+    return df.withColumns(fresh)
+
+
+def packed(df: DataFrame, *more: Column) -> DataFrame:
+    """The record's columns as the struct ``repair``."""
+    record = F.struct(*[F.col(f"_r_{f}").alias(f) for f in FIELDS], *more)
+    return df.withColumn("repair", record).drop(*[f"_r_{f}" for f in FIELDS], "_e_weight", "_e_count")
 
 
 def _add(df: DataFrame, counts: dict[str, Column], evidence: Column | None = None, confidence: float = 1.0) -> DataFrame:
-    for name, c in counts.items():
-        df = df.withColumn("repair", F.col("repair").withField(name, F.col(f"repair.{name}") + F.coalesce(c.cast("long"), F.lit(0).cast("long"))))
+    new = {f"_r_{f}": F.col(f"_r_{f}") + F.coalesce(c.cast("long"), F.lit(0).cast("long")) for f, c in counts.items()}
     if evidence is not None:
-        n = evidence.cast("long")
-        df = df.withColumn(
-            "_evidence",
-            F.struct((F.col("_evidence.weight") + n * confidence).alias("weight"), (F.col("_evidence.count") + n).alias("count")),
-        )
-    return df
+        n = F.coalesce(evidence.cast("long"), F.lit(0).cast("long"))
+        new |= {"_e_weight": F.col("_e_weight") + n * confidence, "_e_count": F.col("_e_count") + n}
+    return df.withColumns(new)
 
 
 def normalize_unicode(df: DataFrame, text: str = "text", max_blank_lines: int | None = 2, dehyphenate: bool = False, nfc: bool = True, ligatures: bool = True, soft_hyphens: bool = True, trim: bool = True) -> DataFrame:
@@ -120,13 +124,14 @@ def remove_images(df: DataFrame, text: str = "text", markdown: bool = True, tags
 
 def metrics(df: DataFrame, text: str = "text", penalty_from: float = 0.20, penalty: float = 0.7) -> DataFrame:
     """Completes the record: lengths, removed fraction, confidence, version."""
-    before, after = F.col("repair.chars_before"), F.length(text).cast("long")
+    before, after = F.col("_r_chars_before"), F.length(text).cast("long")
     gone = F.when(before > 0, F.greatest(F.lit(0), before - after) / before).otherwise(F.lit(0.0))
-    mean = F.when(F.col("_evidence.count") > 0, F.col("_evidence.weight") / F.col("_evidence.count")).otherwise(F.lit(1.0))
+    mean = F.when(F.col("_e_count") > 0, F.col("_e_weight") / F.col("_e_count")).otherwise(F.lit(1.0))
     sure = F.lit(0.4) + 0.6 * mean - F.greatest(F.lit(0.0), gone - penalty_from) * penalty
-    r = F.col("repair").withField("chars_after", after).withField("removed_fraction", F.round(gone, 6))
-    r = r.withField("repair_confidence", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), sure)), 6)).withField("repair_version", F.lit(VERSION))
-    return df.withColumn("repair", r).drop("_evidence")
+    sure = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), sure)), 6)
+    return packed(
+        df, after.alias("chars_after"), F.round(gone, 6).alias("removed_fraction"), sure.alias("repair_confidence"), F.lit(VERSION).alias("repair_version")
+    )
 
 
 # -- kernels ------------------------------------------------------------------------------------

@@ -591,7 +591,7 @@ g AS (SELECT *, regexp_replace(t5, '\\n{{4,}}', chr(10) || chr(10) || chr(10), '
 SELECT doc_id, t6 AS text, lig::BIGINT AS ligatures_normalized, soft::BIGINT AS soft_hyphens_removed, joins::BIGINT AS soft_hyphen_line_joins, (length(t3) - length(t5))::BIGINT AS trailing_whitespace_removed, (length(t5) - length(t6))::BIGINT AS blank_lines_collapsed FROM g"""
 )
 def repair_unicode(spark, d):
-    out = repair.normalize_unicode(repair.start(_docs(spark, d).select("doc_id", "text")))
+    out = repair.packed(repair.normalize_unicode(repair.start(_docs(spark, d).select("doc_id", "text"))))
     fields = ("ligatures_normalized", "soft_hyphens_removed", "soft_hyphen_line_joins", "trailing_whitespace_removed", "blank_lines_collapsed")
     return out.select("doc_id", "text", *[F.col(f"repair.{f}").alias(f) for f in fields])
 
@@ -608,7 +608,7 @@ SELECT doc_id, array_to_string(kept, chr(10)) AS text, images::BIGINT AS image_p
 )
 def repair_image(spark, d):
     marked = F.concat(_t(), F.lit("\n![plate](img/"), F.col("doc_id").cast("string"), F.lit('.png)\nNote: the image is not available here\na <IMG src="x"> b'))
-    out = repair.remove_images(repair.start(_docs(spark, d).select("doc_id", marked.alias("text"))))
+    out = repair.packed(repair.remove_images(repair.start(_docs(spark, d).select("doc_id", marked.alias("text")))))
     return out.select("doc_id", "text", "repair.image_placeholders_removed", "repair.image_notes_removed")
 
 
@@ -618,18 +618,18 @@ def _record(df: DataFrame, *fields: str) -> DataFrame:
 
 @query()
 def repair_page_structure(spark, d):
-    out = repair.repair_page_structure(repair.start(_docs(spark, d).select("doc_id", "text")))
+    out = repair.packed(repair.repair_page_structure(repair.start(_docs(spark, d).select("doc_id", "text"))))
     return _record(out, "pages_detected", "headers_removed", "footers_removed", "page_numbers_removed", "boundary_joins")
 
 
 @query()
 def repair_local_span(spark, d):
-    return _record(repair.repair_local_spans(repair.start(_docs(spark, d).select("doc_id", "text"))), "duplicate_blocks_removed")
+    return _record(repair.packed(repair.repair_local_spans(repair.start(_docs(spark, d).select("doc_id", "text")))), "duplicate_blocks_removed")
 
 
 @query()
 def repair_line_loop(spark, d):
-    return _record(repair.repair_line_loops(repair.start(_docs(spark, d).select("doc_id", "text"))), "long_line_loops_removed", "loop_chars_removed")
+    return _record(repair.packed(repair.repair_line_loops(repair.start(_docs(spark, d).select("doc_id", "text")))), "long_line_loops_removed", "loop_chars_removed")
 
 
 @query()
