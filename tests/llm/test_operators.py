@@ -75,6 +75,25 @@ def test_decision_list_learns_and_emits(spark):
     assert str(repetition.learn(x[:10], y[:10])) == "else unsure"
 
 
+def test_short_loops_are_not_let_go(spark):
+    """Loops of few different runs; a list that calls everything clean must not lose them."""
+    import random
+
+    r = random.Random(5)
+    prose = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400)) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(prose)]
+    for k in range(40):
+        loop = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1 + k % 12))
+        rows.append((100 + k, prose[k] + (loop * 300)[:300]))
+    want = sorted(i for i, t in rows if (c := brute_repeated(t))[1] >= 0.3 * c[0])
+    assert want == list(range(100, 140))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for rules in (None, repetition.DecisionList([([], "clean")], "unsure"), repetition.DecisionList([([(1, "<=", 0.06)], "clean")], "unsure")):
+        assert [i for (i,) in ids(repetition.repeating(df, rules), "doc_id")] == want
+    said = {r.doc_id: r.verdict for r in repetition.judged(df, repetition.DecisionList([([], "clean")], "unsure")).collect()}
+    assert all((said[i] == "unsure") == (i >= 100) for i in said)
+
+
 # -- 4 ------------------------------------------------------------------------------------------
 
 

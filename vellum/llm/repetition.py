@@ -1,13 +1,13 @@
 """Repetition inside a single document: a learned decision list over cheap statistics.
 
-One pass computes a few statistics of every text, most of them from an eighth of its runs (those
-whose hash says so, wherever they stand).  On a bounded sample of documents the exact repeated
+One pass computes a few statistics of every text, over all of its short runs.  On a bounded sample of documents the exact repeated
 share is computed as the label, and a decision list is learned from it by sequential covering:
 rules are conjunctions of thresholds, grown on one part of the sample and pruned on the other.
 The list is emitted as one ordered Spark ``CASE`` expression with the verdicts ``clean``,
 ``repeating`` and ``unsure``.  Rules for ``clean`` must keep a margin from every repeating sample
 document, so that what they let go is far from the threshold; every other document has its exact
-share computed.
+share computed.  A text with the repeated share also has a least share of repeated short runs
+(``least_dup``), so ``clean`` holds only below that: the list cannot let a repeating text go.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from .kernel import BASE, U64, fold_many, inside, mix64, owner, spread, text_runs, window_hashes
 
 RUN, SHARE = 30, 0.3
-#: Sampled statistics: length of the short runs and the one-in-``EVERY`` choice among them.
-SHORT, EVERY = 12, 8
+#: Length of the short runs of the statistics.
+SHORT = 12
 #: Where pieces of text end for the share of repeated pieces.
 STOPS = (".", "!", "?", "\n", "。", "！", "？", "।", "؟")
 #: Documents that the list is learned from, at most.
@@ -86,7 +86,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = np.zeros(len(ids))
         if len(cp) >= SHORT:
             h = mix64(window_hashes(spread(cp), SHORT))
-            at = np.flatnonzero(inside(offsets, SHORT) & ((h & U64(EVERY - 1)) == U64(0)))
+            at = np.flatnonzero(inside(offsets, SHORT))
             doc = owner(offsets)[at]
             key = mix64(h[at] + doc.astype(U64) * U64(BASE))
             order = np.argsort(key, kind="stable")
@@ -265,10 +265,25 @@ def _schema_exact() -> pa.Schema:
     return pa.schema([("doc_id", pa.int64()), ("folded_chars", pa.int64()), ("repeated_chars", pa.int64())])
 
 
+def least_dup(share: float = SHARE) -> float:
+    """What ``dup_short`` is at least in a text of which ``share`` is repeated.
+
+    A repeated run of ``RUN`` starts ``RUN - SHORT + 1`` repeated short runs; where such runs
+    overlap or touch, every ``RUN`` characters covered still have as many starts or more.
+    """
+    return share * (RUN - SHORT + 1) / RUN
+
+
+def verdict(rules: DecisionList, share: float = SHARE) -> Column:
+    """The list's verdict; ``clean`` becomes ``unsure`` where the text could be repeating."""
+    said = rules.column()
+    return F.when((said == "clean") & (F.col("dup_short") >= F.lit(least_dup(share))), "unsure").otherwise(said)
+
+
 def judged(documents: DataFrame, rules: DecisionList | None = None, sample: int = SAMPLE) -> DataFrame:
     """The statistics of every document with a text and the list's ``verdict``."""
     rules = rules or fit(documents, sample)
-    return statistics(documents).withColumn("verdict", rules.column())
+    return statistics(documents).withColumn("verdict", verdict(rules))
 
 
 def repeating(documents: DataFrame, rules: DecisionList | None = None, sample: int = SAMPLE, share: float = SHARE) -> DataFrame:
@@ -281,8 +296,7 @@ def repeating(documents: DataFrame, rules: DecisionList | None = None, sample: i
     rules = rules or fit(documents, sample)
     base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    verdict = rules.column()
-    stats = base.mapInArrow(_statistics_with_text, STATS + ", text string").withColumn("verdict", verdict)
+    stats = base.mapInArrow(_statistics_with_text, STATS + ", text string").withColumn("verdict", verdict(rules, share))
     open_ = stats.where("verdict <> 'clean'").select("doc_id", "text")
     return (
         open_.mapInArrow(_exact_shares, EXACT)
