@@ -337,6 +337,18 @@ def test_truncation(spark):
     assert {(r.source, r.unit, r.length) for r in truncation.limits(truncation.endings(df)).collect()} >= {("b", "chars", 1000)}
 
 
+def test_cut_copies_teach_no_closing_line(spark):
+    body = "The miller sold the mill in May. Nobody bought it before the fair. "
+    wrapped = body + "\nA carter then drove the grey mare over the bridge and\nleft the wagon by the gate as quickly as the"
+    after = body + "\nAt noon the carter left the wagon by the"
+    rows = [(i, (wrapped if i % 2 else wrapped.upper().lower().capitalize())) for i in range(30)] + [(100 + i, after) for i in range(30)]
+    rows += [(200 + i, f"Keeper {i} lit lamp {i}. " + body + "\nThen he drove the mare over the bridge and\nsaw that the lamp was lit by the") for i in range(5)]
+    rows += [(300 + i, f"Clerk {i} wrote a letter. " + body + f"\nprinted for the Reading Society of Town{chr(65 + i)}") for i in range(5)]
+    df = spark.createDataFrame([(*r, "a") for r in rows], "doc_id long, text string, source string")
+    assert [r.pattern for r in truncation.closers(truncation.endings(df)).collect()] == ["printed for the X X of X"]
+    assert [i for (i,) in ids(truncation.truncated(df), "doc_id")] == [i for i, _ in rows if i < 300]
+
+
 # -- awkward rows and empty tables ------------------------------------------------------------------
 
 

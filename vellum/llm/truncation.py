@@ -7,11 +7,13 @@ the Benjamini-Hochberg rule over all tests.  Whether a text is cut is then read
 at a significant length any ending without a stop will do, elsewhere (cuts in transfer) the text
 must be running language with stops whose last unit has none and is no closing line.  Which lines
 close a text (imprints, end marks) is learned from the corpus: a pattern of words that again and
-again stands as an unstopped last line after a whole sentence.
+again stands as an unstopped last line after a whole sentence, in texts that are no copies of one
+another.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -19,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .kernel import fold_many
 from .mixing import canonical_source
 
 #: Lengths on either side that a hazard is held against, the false-discovery rate, the least ends.
@@ -46,7 +49,8 @@ _SPACELESS = re.compile(r"[぀-ヿ㐀-鿿]")
 _NAMESEP = re.compile(r"^[—–~―-]?\s*[^\s。，、！？「」『』“”：]{1,12}[・·][^\s。，、！？「」『』“”：]{1,12}$")
 ENDING = (
     "doc_id long, source string, chars long, bytes long, last string, pattern string, closer string, "
-    "open boolean, running boolean, stops boolean, broken boolean, named boolean, after_stop boolean"
+    "open boolean, running boolean, stops boolean, broken boolean, named boolean, after_stop boolean, "
+    "content long"
 )
 
 
@@ -79,7 +83,8 @@ def pattern_of(line: str) -> str | None:
 def ending(text: str) -> tuple | None:
     """What the end of a text looks like; None for a blank text.
 
-    ``last`` is the last line that is not blank, ``open`` whether it ends without a stop,
+    ``last`` is the last line that is not blank, ``closer`` the pattern of the last one but for page
+    numbers, if it has no stop and follows a whole sentence, ``open`` whether ``last`` ends without a stop,
     ``running`` whether the text is running language with stops inside its lines or at their ends,
     ``named`` whether the last line is nothing but names, ``broken`` whether the text breaks off
     in a replacement character, a comma or an opening mark.
@@ -108,8 +113,9 @@ def ending(text: str) -> tuple | None:
     pages = sum(1 for x in lines if _page(x))
     numbered = _page(last) and len(lines) > 1 and (pages > 1 or _ends(lines[-2]))
     open_ = bool(bare) and bare[-1] not in _STOP and not numbered and not _TAILED.search(last[-60:])
-    foot = next((x for x in reversed(lines[1:]) if not _page(x)), "")
-    closer = pattern_of(foot) if foot and not _ends(foot) else None
+    feet = (x for x in reversed(lines) if not _page(x))
+    foot, above = next(feet, ""), next(feet, "")
+    closer = pattern_of(foot) if foot and not _ends(foot) and _ends(above) else None
     tail = last.rstrip(_QUOTES + " ").lstrip("—–~―- ")
     tail_words = tail.split()
     named = (
@@ -130,6 +136,13 @@ def ending(text: str) -> tuple | None:
     return last, pattern_of(last), closer, open_ and not repeated, running, stops, broken, named and len(lines) > 1, before
 
 
+def _content(text: str) -> int:
+    """A hash of N(text), the same for copies; of the text itself where N(text) is empty."""
+    cp, _ = fold_many([text])
+    raw = cp.tobytes() if len(cp) else text.encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+
+
 def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -138,9 +151,9 @@ def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             found = ending(text)
             if found is not None:
-                rows.append((key, source, len(text), len(text.encode("utf-8", "surrogatepass")), found[0][-200:], *found[1:]))
-        cols = list(zip(*rows)) if rows else [()] * 13
-        types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *([pa.bool_()] * 6)]
+                rows.append((key, source, len(text), len(text.encode("utf-8", "surrogatepass")), found[0][-200:], *found[1:], _content(text)))
+        cols = list(zip(*rows)) if rows else [()] * 14
+        types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *([pa.bool_()] * 6), pa.int64()]
         names = [f.split()[0] for f in ENDING.split(", ")]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
@@ -188,9 +201,13 @@ def limits(ends: DataFrame, rate: float = RATE, least: int = LEAST) -> DataFrame
 
 
 def closers(ends: DataFrame, share: float = CLOSER_SHARE, least: int = CLOSER_LEAST) -> DataFrame:
-    """Patterns of closing lines: of at most ``1 / share`` patterns, so a bounded table."""
-    found = ends.where("closer is not null").groupBy(F.col("closer").alias("pattern")).agg(F.count(F.lit(1)).alias("n"))
-    total = ends.agg(F.count(F.lit(1)).alias("docs"))
+    """Patterns of closing lines: of at most ``1 / share`` patterns, so a bounded table.
+
+    Texts count, not rows: copies of one cut text would else teach its cut line.
+    """
+    texts = ends.where("closer is not null").select(F.col("closer").alias("pattern"), "content").distinct()
+    found = texts.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    total = ends.select("content").distinct().agg(F.count(F.lit(1)).alias("docs"))
     return found.crossJoin(F.broadcast(total)).where((F.col("n") >= least) & (F.col("n") >= share * F.col("docs"))).select("pattern")
 
 
@@ -236,7 +253,7 @@ def judged(documents: DataFrame) -> DataFrame:
         .withColumn("closing", F.coalesce("closing", F.lit(False)))
         .withColumn("at_limit", F.col("l1").isNotNull() | F.col("l2").isNotNull())
         .withColumn("cut", cut_off())
-        .drop("s", "s1", "s2", "l1", "l2")
+        .drop("s", "s1", "s2", "l1", "l2", "content")
     )
 
 
