@@ -292,6 +292,22 @@ def test_misread_words():
     assert scanned.misread("14th", known) is None and scanned.own_hyphen("well", "known", known) and not scanned.own_hyphen("har", "vest", known)
 
 
+def test_misread_names_by_shares_of_different_texts(spark):
+    def grams(word, n):
+        return dict.fromkeys(scanned._grams(word.lower()), n)
+
+    for by in (1, 10, 1000):
+        known = scanned.Vocabulary({"wortcrbuch": 3 * by, "the": 9000 * by}, {**grams("Worterbuch", 200 * by), "rtc": 3 * by, "tcr": 3 * by, "crb": 3 * by}, texts=10_000 * by)
+        assert scanned.misread("Wortcrbuch", known) == "Worterbuch"
+        known = scanned.Vocabulary({"the": 9000 * by}, {**grams("Worterbuch", 39 * by)}, texts=10_000 * by)
+        assert scanned.misread("Wortcrbuch", known) is None  # the repair is rare too
+        known = scanned.Vocabulary({"the": 9000 * by}, {**grams("Worterbuch", 9000 * by), "rtc": 41 * by, "tcr": 41 * by, "crb": 41 * by}, texts=10_000 * by)
+        assert scanned.misread("Wortcrbuch", known) is None  # its letters are usual
+    rows = [(i, t) for i, t in enumerate(["Wortcrbuch stands here."] * 5 + ["WORTCRBUCH, stands here!", "The mill stands.", "A mill, a Wortcrbuch.", None])]
+    known = scanned.vocabulary(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert known.texts == 3 and known.count("Wortcrbuch") == 2 and known.grams["rtc"] == 2 and known.count("stands") == 2 and known.count("here") == 0
+
+
 CASES = {
     "Mr. Ott met Dr. Ens at 6 p.m. near St. Ann. He waited ... and then left. It cost 3.5 crowns.": 3,
     "“It is late. Let us go,” said Ott, and left. “Stop!” a man cried.": 2,

@@ -6,8 +6,9 @@ edges.  A body line is filled to the width of the page unless it ends its paragr
 line without a stop at an edge is a running line also where it stands once.  The rest of the lines
 is the text: its line ends are joined, divided words by the corpus' vocabulary.
 
-The vocabulary comes from one pass over all documents: the number of documents that have a word,
-and of each three letters in capitalised words (names seldom recur, their letters do).  Only
+The vocabulary comes from one pass over the different texts (copies count once): the number of
+texts that have a word, and of each three letters in capitalised words (names seldom recur, their
+letters do).  Only
 entries of a documented least share are kept, which bounds both tables.
 """
 
@@ -27,6 +28,11 @@ from pyspark.sql import functions as F
 WORD_SHARE, WORD_LEAST = 0.0002, 2
 #: How many times more frequent the repair of a word has to be.
 RATIO = 15
+#: For names, shares of the texts: what a misread name and its rarest three letters stay below, and
+#: what the repair's rarest three letters reach.  Below ``NAME_TEXTS`` texts they hold as for that many.
+NAME_SHARE, NAME_RARE, NAME_KNOWN, NAME_TEXTS = 0.02 / RATIO, 0.004, 0.0025, 10_000
+#: How many times more frequent the repair's rarest three letters have to be.
+NAME_RATIO = 40
 SIMILAR = 0.8
 
 #: What is read -> what was printed.
@@ -58,8 +64,8 @@ _LATIN, _CYRILLIC = re.compile(r"[A-Za-zÀ-ɏ]"), re.compile(r"[Ѐ-ӿ]")
 
 
 class Vocabulary:
-    def __init__(self, words: dict[str, int], grams: dict[str, int], lines: list[str] | None = None) -> None:
-        self.words, self.grams, self.lines = words, grams, list(lines or [])
+    def __init__(self, words: dict[str, int], grams: dict[str, int], lines: list[str] | None = None, texts: int = 0) -> None:
+        self.words, self.grams, self.lines, self.texts = words, grams, list(lines or []), texts
         self.most = max(self.words.values(), default=0)
         self.seen: dict[str, str | None] = {}
         self.furniture = {f for x in self.lines for f in pattern_forms(x)}
@@ -115,12 +121,13 @@ def _misread(word: str, known: Vocabulary) -> str | None:
         return best
     if sure:
         return best or word
-    if word[:1].isupper() and have * RATIO < 200 and len(word) >= 4 and word.isalpha():
+    texts = max(NAME_TEXTS, known.texts)
+    if word[:1].isupper() and have < NAME_SHARE * texts and len(word) >= 4 and word.isalpha():
         low = known.least_gram(word)
-        if low < 40:
+        if low < NAME_RARE * texts:
             for fixed in repairs(word):
                 g = known.least_gram(fixed)
-                if g >= max(25, 40 * (low + 1)) and fixed[1:].islower() == word[1:].islower():
+                if g >= max(NAME_KNOWN * texts, NAME_RATIO * (low + texts / NAME_TEXTS)) and fixed[1:].islower() == word[1:].islower():
                     return fixed
     return None
 
@@ -526,15 +533,25 @@ def _grams(word: str) -> list[str]:
     return [w[i : i + 3] for i in range(len(w) - 2)]
 
 
+def distinct_texts(documents: DataFrame) -> DataFrame:
+    """``(text)``: one, the least, of the texts that are the same in N(text)."""
+    bare = F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", "")
+    content = F.xxhash64(F.when(bare == "", F.col("text")).otherwise(bare))
+    return documents.where("text is not null").groupBy(content.alias("content")).agg(F.min("text").alias("text")).select("text")
+
+
 def vocabulary(documents: DataFrame, share: float = WORD_SHARE) -> Vocabulary:
-    """Words, name trigrams and patterns of recurring lines by the number of documents that have them."""
-    counts = documents.select("text").mapInArrow(_counts, COUNTS).groupBy("kind", "key").agg(F.sum("docs").alias("docs"))
-    total = documents.where("text is not null").count()
+    """Words, name trigrams and patterns of recurring lines by the number of different texts that have them."""
+    from ..session import materialize
+
+    counts = distinct_texts(documents).mapInArrow(_counts, COUNTS).groupBy("kind", "key").agg(F.sum("docs").alias("docs"))
+    counts = materialize(counts, "vocabulary")
+    total = counts.where("kind = 'w' and key = ''").agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
     kept = counts.where((F.col("docs") >= WORD_LEAST) & (F.col("docs") >= F.lit(share * total))).toPandas()
     words = kept[(kept.kind == "w") & (kept.key != "")]
     grams = kept[kept.kind == "g"]
     lines = kept[kept.kind == "l"]
-    return Vocabulary(dict(zip(words.key, words.docs.astype(int))), dict(zip(grams.key, grams.docs.astype(int))), sorted(lines.key))
+    return Vocabulary(dict(zip(words.key, words.docs.astype(int))), dict(zip(grams.key, grams.docs.astype(int))), sorted(lines.key), total)
 
 
 def _examiner(shared):
@@ -568,7 +585,7 @@ def examined(documents: DataFrame, known: Vocabulary | None = None) -> DataFrame
     Documents not set in pages come back as they are.
     """
     known = known or vocabulary(documents)
-    shared = documents.sparkSession.sparkContext.broadcast((known.words, known.grams, known.lines))
+    shared = documents.sparkSession.sparkContext.broadcast((known.words, known.grams, known.lines, known.texts))
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_examiner(shared), EXAMINED)
 
 
