@@ -246,6 +246,18 @@ def test_leak_with_substitutions(spark):
     assert [(r.item_id, r.doc_id, r.substitutions) for r in got] == [(7, 1, 1)] and got[0].length >= 70
 
 
+def test_long_leak_is_reported_whole(spark):
+    import random
+
+    r = random.Random(9)
+    item = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(700))
+    changed = item[:300] + "0" + item[301:500] + "1" + item[501:]
+    d = spark.createDataFrame([(1, "Before 77. " + item), (2, changed + " 88 after"), (3, item[:250]), (4, item[200:600])], "doc_id long, text string")
+    b = spark.createDataFrame([(7, item, None)], "item_id long, text string, task string")
+    got = {x.doc_id: (x.length, x.substitutions, x.exact_run, x.item_share) for x in leakage.leak_report(d, b).collect()}
+    assert got == {1: (700, 0, 700, 1.0), 2: (700, 2, 300, 1.0), 3: (250, 0, 250, 0.3571), 4: (400, 0, 400, 0.5714)}
+
+
 # -- 9 ------------------------------------------------------------------------------------------
 
 

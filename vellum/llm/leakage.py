@@ -131,25 +131,50 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left = min(at, ipos)
             right = min(len(a) - at, len(b) - ipos)
             same = a[at - left : at + right] == b[ipos - left : ipos + right]
-            core = same[left : left + SPAN]
             grown_left = _extend(same[:left][::-1])
             grown_right = _extend(same[left + SPAN :])
             lo, hi = left - grown_left, left + SPAN + grown_right
-            rows.append((item, doc, dpos - left + lo, hi - lo, int((~same[lo:hi]).sum()), _longest(same), int(core.sum())))
+            wrong = (np.flatnonzero(~same[lo:hi]) + (dpos - left + lo)).tolist()
+            rows.append((item, doc, dpos - left + lo, hi - lo, len(wrong), _longest(same), dpos - ipos, wrong))
         if rows:
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.int64()) for c in cols[2:6])],
-                ["item_id", "doc_id", "start", "length", "substitutions", "exact_run"],
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.int64()) for c in cols[2:7]), pa.array(cols[7], pa.list_(pa.int64()))],
+                ["item_id", "doc_id", "start", "length", "substitutions", "exact_run", "diagonal", "wrong"],
             )
 
 
-VERIFIED = "item_id long, doc_id long, start long, length long, substitutions long, exact_run long"
+VERIFIED = "item_id long, doc_id long, start long, length long, substitutions long, exact_run long, diagonal long, wrong array<long>"
+STRETCH = "item_id long, doc_id long, length long, substitutions long, exact_run long"
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hits of each item, document and diagonal, and what those that overlap or touch make together."""
+    for batch in batches:
+        rows = []
+        for item, doc, hits in zip(*(batch.column(n).to_pylist() for n in ("item_id", "doc_id", "hits"))):
+            hits.sort(key=lambda x: x["start"])
+            whole: list[tuple[int, int, set[int]]] = []
+            for x in hits:
+                lo, hi = x["start"], x["start"] + x["length"]
+                rows.append((item, doc, x["length"], len(x["wrong"]), x["exact_run"]))
+                if whole and lo <= whole[-1][1]:
+                    whole[-1][2].update(x["wrong"])
+                    whole[-1] = (whole[-1][0], max(whole[-1][1], hi), whole[-1][2])
+                else:
+                    whole.append((lo, hi, set(x["wrong"])))
+            for lo, hi, wrong in whole:
+                at = [lo - 1, *sorted(wrong), hi]
+                rows.append((item, doc, hi - lo, len(wrong), max(b - a - 1 for a, b in zip(at, at[1:]))))
+        cols = list(zip(*rows)) if rows else [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], [f.split()[0] for f in STRETCH.split(", ")])
 
 
 def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Verified overlaps, one row per hit: item_id, doc_id, start and length in N(documents.text),
-    substitutions within, exact_run (the longest run of equal characters along the alignment).
+    substitutions within, exact_run (the longest run of equal characters along the alignment),
+    diagonal (position in the document less that in the item), wrong (where the substitutions are).
+    A hit is followed for ``CONTEXT`` characters on either side.
 
     Null and blank texts and items shorter than a seed take no part; an empty table on either
     side gives no rows; repeated rows repeat hits only.
@@ -192,9 +217,11 @@ def leaked(documents: DataFrame, benchmark: DataFrame, run: int = SPAN + STEP -
 
 def leak_report(documents: DataFrame, benchmark: DataFrame, least: int = 40, tolerated: float = 0.1) -> DataFrame:
     """Per item and document the best overlap with substitutions tolerated: the length of the
-    longest one, its substitutions and its share of the item.
+    longest one, its substitutions and its share of the item.  Hits along one diagonal that overlap
+    count as one.
     """
-    good = overlaps(documents, benchmark).where((F.col("length") >= least) & (F.col("substitutions") <= tolerated * F.col("length")))
+    hits = overlaps(documents, benchmark).groupBy("item_id", "doc_id", "diagonal").agg(F.collect_set(F.struct("start", "length", "exact_run", "wrong")).alias("hits"))
+    good = hits.select("item_id", "doc_id", "hits").mapInArrow(_merged, STRETCH).where((F.col("length") >= least) & (F.col("substitutions") <= tolerated * F.col("length")))
     size = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(_folded, "item_id long, item_text string")
     size = size.dropDuplicates(["item_id"]).select("item_id", F.length("item_text").cast("long").alias("item_length"))
     best = good.groupBy("item_id", "doc_id").agg(
