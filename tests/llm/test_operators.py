@@ -342,6 +342,15 @@ def test_sentences_keep_positions(spark):
             assert text[: u.end_pos].endswith(u.unit)
 
 
+def test_long_quotation_is_one_unit(spark):
+    """Quotations of many lines, without a bound; an open one ends at its paragraph."""
+    speech = "“" + "It is late. The mill\nstands. A fair\n" * 150 + "goes on,” said Ott, and left."
+    rows = [(1, speech + " He slept."), (2, speech + " He slept. He woke."), (3, "“" + "It\n" * 30_000 + "is,” said Ott. He slept."), (4, "“Open. It goes\non.\n\nHe slept.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r["count"] for r in sentences.split_sentences(df).groupBy("doc_id").count().collect()}
+    assert got == {1: 2, 2: 3, 3: 2, 4: 3}
+
+
 def test_kinds(spark):
     prose = "The miller sold the mill. Nobody bought it, and the harvest was late. " * 4
     table_ = "\n".join(f"name{k} | {k * 13} | {k * 7}" for k in range(8))

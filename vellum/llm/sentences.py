@@ -62,7 +62,7 @@ def masked(text: Column) -> Column:
     # days of the month
     x = F.regexp_replace(x, rf"(?U)(?<=\b(?:{'|'.join(BEFORE_DAY)})\s)(\d{{1,2}})\.(?=\s+\p{{L}})", "$1" + DOT)
     # marks inside closed quotations
-    spans = "|".join(f"{re.escape(a)}[^{re.escape(a + b)}\\n]*(?:\\n(?!\\s*\\n)[^{re.escape(a + b)}\\n]*){{0,200}}[{re.escape(b)}]" for a, b in _QUOTED)
+    spans = "|".join(f"{re.escape(a)}[^{re.escape(a + b)}\\n]*+(?:\\n(?!\\s*\\n)[^{re.escape(a + b)}\\n]*+)*+[{re.escape(b)}]" for a, b in _QUOTED)
     first = "".join(a for a, _ in _QUOTED)
     segments = F.regexp_extract_all(x, F.lit(f"(?s)(?:{spans}|[^{first}]+|.)"), F.lit(0))
     quoted = F.transform(segments, lambda s: F.when(F.length(s) > 1, F.when(F.substring(s, 1, 1).isin(*first), F.translate(s, MARKS, MASKED)).otherwise(s)).otherwise(s))
