@@ -121,6 +121,29 @@ def test_shared_spans_equal_brute_force(docs, texts, hot):
     assert got == brute_stretches(texts) and got
 
 
+def test_shared_spans_equal_brute_force_on_more_rows(spark, data):
+    """Enough rows that documents share windows but not the anchors at their edges."""
+    wider = data.rstrip("/").rsplit("/", 1)[0] + "/sf0.01"
+    docs = spark.read.parquet(f"{wider}/documents.parquet").select("doc_id", "text")
+    held = {r.doc_id: r.text for r in docs.where("text is not null").collect()}
+    assert {tuple(r) for r in shared_spans.stretches(docs).collect()} == brute_stretches(held)
+
+
+def test_windows_whose_edges_differ_find_each_other(spark):
+    """Many documents cut one base at random places: partners hold a window under other edge anchors."""
+    import random
+
+    r = random.Random(11)
+    base = " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8))) for _ in range(500))
+    mixed = {}
+    for i in range(60):
+        a = r.randrange(len(base) - 500)
+        b = a + r.randrange(180, 480)
+        mixed[i] = "".join(r.choice("klmnop ") for _ in range(r.randrange(60))) + base[a:b] + "".join(r.choice("klmnop ") for _ in range(r.randrange(60)))
+    df = spark.createDataFrame(list(mixed.items()), "doc_id long, text string")
+    assert {tuple(x) for x in shared_spans.stretches(df).collect()} == brute_stretches(mixed)
+
+
 def test_shared_span_with_three_partners(spark):
     import random
 

@@ -10,10 +10,13 @@ of them one by one would shuffle a row per character.  Instead:
 2. **Compaction.**  Grouping the occurrences of each node over all documents gives the repeated
    nodes, and whether all occurrences leave by the same edge and come by the same edge.  Joined
    back to the sources, runs of such nodes are nonbranching paths: whoever holds one of their
-   nodes holds the whole path, so all windows of the path are shared and need no comparison.
-3. **Verification.**  What is left are windows over a branching node whose own anchor is
-   repeated (without that they cannot be shared).  They are compared in full by their source coordinates: grouped by their own anchor,
-   or, where an anchor is held by very many rows, as single window hashes in a plain aggregation.
+   nodes holds the whole path, so a window that its own anchor's path covers is shared and needs
+   no comparison.  The path of an anchor is the same in every document, so all holders of such a
+   window leave it out of the comparison alike.
+3. **Verification.**  What is left are windows that reach beyond the path of their own anchor
+   although that is repeated (without that they cannot be shared).  They are compared in full by
+   their source coordinates: grouped by their own anchor, or, where an anchor is held by very many
+   rows, as single window hashes in a plain aggregation.
 4. The windows' union per document is the result.
 
 Window equality is that of 64-bit polynomial hashes of the whole windows.
@@ -155,10 +158,11 @@ def _paths_of(ids, texts, marks) -> Iterator[pa.RecordBatch]:
     repeated, comes, leaves, hot = (flags & 1) > 0, (flags & 2) > 0, (flags & 4) > 0, (flags & 8) > 0
     s = np.searchsorted(at, x)
     t = np.searchsorted(at, x + WINDOW - 1, side="right") - 1
-    direct = _all_from(leaves)[t] <= _all_up_to(comes)[s]
-    direct &= np.maximum(_all_from(leaves)[t], s) <= np.minimum(_all_up_to(comes)[s], t)
     keys = np.asarray(ids, dtype=np.int64)
     j = np.searchsorted(at, anchor)
+    # the path of the window's own anchor, not of any node in it: other documents may have other
+    # nodes at the window's edges, and would then seek partners that withheld it
+    direct = (_all_from(leaves)[t] <= j) & (j <= _all_up_to(comes)[s])
     possible = repeated[j] & ~direct
 
     def runs(mask: np.ndarray, split: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
