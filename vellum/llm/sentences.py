@@ -18,7 +18,10 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CUT = ""
+from ..functions.text import let
+from ..session import materialize
+
+CUT = "\uf8ff"
 MARKS = ".!?…。！？।؟．۔‥"
 MASKED = "".join(chr(0xE000 + k) for k in range(len(MARKS)))
 DOT = MASKED[0]
@@ -51,40 +54,44 @@ def masked(text: Column) -> Column:
     x = F.translate(text, CUT + MASKED, " " * (1 + len(MASKED)))
     # addresses
     x = F.regexp_replace(x, r"(?<=\w)\.(?=\w)", DOT)
+    # Each rule finds the stop first and then looks back, so a text costs little more than its stops.
+    alone = r"(?<!\w)"
     # initials, single letters before a stop in Arabic and Devanagari text, and abbreviations
-    x = F.regexp_replace(x, r"(?U)(?<![\w])(\p{Ll})\.(?=\s?\p{L}\.)", "$1" + DOT)
-    x = F.regexp_replace(x, r"(?U)(?<![\w])(\p{Lu}|\p{InArabic})\.(?=\s*[\p{L}\d])", "$1" + DOT)
-    x = F.regexp_replace(x, rf"(?U)(?<![\w])({_alternatives(ABBREVIATIONS)})\.(?=\s)", "$1" + DOT)
-    x = F.regexp_replace(x, rf"(?U)(?<![\w])({_alternatives(LETTERED)})\.(?=\s)", "$1" + DOT)
-    x = F.regexp_replace(x, r"(?U)(?<![\w])(\p{InDevanagari}{1,3})\.(?=\s)", "$1" + DOT)
-    # page, section, number before a number
-    x = F.regexp_replace(x, r"(?U)(?<![\w])(\p{L}|no|nos|art|arts|par)\.(?=\s*[\d(])", "$1" + DOT)
-    # days of the month
-    x = F.regexp_replace(x, rf"(?U)(?<=\b(?:{'|'.join(BEFORE_DAY)})\s)(\d{{1,2}})\.(?=\s+\p{{L}})", "$1" + DOT)
+    x = F.regexp_replace(x, rf"(?U)\.(?=\s?\p{{L}}\.)(?<={alone}\p{{Ll}}\.)", DOT)
+    initial = rf"(?=\s*[\p{{L}}\d])(?<=(?<![\w{DOT}])[\p{{Lu}}\p{{InArabic}}]\.)"
+    x = F.regexp_replace(x, rf"(?U)\.(?:{initial}|(?=\s)(?<={alone}(?:{_alternatives(ABBREVIATIONS)})\.))", DOT)
+    x = F.regexp_replace(x, rf"(?U)\.(?=\s)(?<={alone}(?:{_alternatives(LETTERED)})\.)", DOT)
+    # short Devanagari words; page, section, number before a number; days of the month
+    short = rf"(?=\s)(?<={alone}\p{{InDevanagari}}{{1,3}}\.)"
+    number = rf"(?=\s*[\d(])(?<={alone}(?:\p{{L}}|no|nos|art|arts|par)\.)"
+    day = rf"(?=\s+\p{{L}})(?<=\b(?:{'|'.join(BEFORE_DAY)})\s\d{{1,2}}\.)"
+    x = F.regexp_replace(x, rf"(?U)\.(?:{short}|{number}|{day})", DOT)
     # marks inside closed quotations
     spans = "|".join(f"{re.escape(a)}[^{re.escape(a + b)}\\n]*+(?:\\n(?!\\s*\\n)[^{re.escape(a + b)}\\n]*+)*+[{re.escape(b)}]" for a, b in _QUOTED)
     first = "".join(a for a, _ in _QUOTED)
     segments = F.regexp_extract_all(x, F.lit(f"(?s)(?:{spans}|[^{first}]+|.)"), F.lit(0))
     quoted = F.transform(segments, lambda s: F.when(F.length(s) > 1, F.when(F.substring(s, 1, 1).isin(*first), F.translate(s, MARKS, MASKED)).otherwise(s)).otherwise(s))
-    return F.array_join(quoted, "")
+    return F.when(x.rlike(f"[{first}]"), F.array_join(quoted, "")).otherwise(x)
 
 
 def restored(x: Column) -> Column:
-    return F.translate(x, MASKED + CUT, MARKS)
+    return F.translate(x, MASKED, MARKS)
 
 
-def _share(text: Column, kept: str) -> Column:
-    return F.length(F.regexp_replace(text, f"[^{kept}]", "")) / F.greatest(F.lit(1), F.length(F.regexp_replace(text, r"(?U)[\s\d\p{P}]", "")))
+_THAI, _HAN, _CASELESS = r"฀-๿", r"぀-ヿ㐀-鿿豈-﫿", r"؀-ۿݐ-ݿऀ-෿"
 
 
 def script(text: Column) -> Column:
     """``thai``, ``han`` (Chinese and Japanese), ``caseless`` (Arabic, Devanagari) or ``cased``."""
-    return (
-        F.when(_share(text, r"฀-๿") > 0.5, "thai")
-        .when(_share(text, r"぀-ヿ㐀-鿿豈-﫿") > 0.5, "han")
-        .when(_share(text, r"؀-ۿݐ-ݿऀ-෿") > 0.5, "caseless")
-        .otherwise("cased")
-    )
+
+    def by_share(solid: Column) -> Column:
+        def most(kept: str) -> Column:
+            return (F.length(text) - F.length(F.regexp_replace(text, f"[{kept}]+", ""))) / F.greatest(F.lit(1), solid) > 0.5
+
+        return F.when(most(_THAI), "thai").when(most(_HAN), "han").when(most(_CASELESS), "caseless").otherwise("cased")
+
+    solid = F.length(F.regexp_replace(text, r"(?U)[\s\d\p{P}]+", ""))
+    return F.when(text.rlike(f"[{_THAI}{_HAN}{_CASELESS}]"), let(solid, by_share)).otherwise("cased")
 
 
 _HAN_CLOSERS = "」』”’）)】》"
@@ -103,7 +110,7 @@ def _cuts(x: Column, kind: Column) -> Column:
         "$1" + CUT,
     )
     caseless = F.regexp_replace(
-        empty_line, rf"(?U)(?<![।؟!?۔])((?:[।؟!?۔]++|(?<![\p{{Nd}}])\.|{_INNER}(?=[{_CLOSERS}]+\s+[{_OPENERS}]))+{_TAIL})(?=\s)", "$1" + CUT
+        empty_line, rf"(?U)(?<![।؟!?۔])((?:[।؟!?۔]++|(?<![{DOT}\p{{Nd}}])\.|{_INNER}(?=[{_CLOSERS}]+\s+[{_OPENERS}]))+{_TAIL})(?=\s)", "$1" + CUT
     )
     han = F.regexp_replace(empty_line, rf"(?s)(?<![。！？．])((?:[。！？．]++|[.!?](?=\s))+[{_HAN_CLOSERS}]*)(?=.)", "$1" + CUT)
     han = F.regexp_replace(han, rf"(?s)((?<=[：:])“[^”]*[{MASKED}]”)(?!{_GO_ON})(?=.)", "$1" + CUT)
@@ -111,31 +118,72 @@ def _cuts(x: Column, kind: Column) -> Column:
     return F.when(kind == "thai", thai).when(kind == "han", han).when(kind == "caseless", caseless).otherwise(cased)
 
 
-def units(text: Column, kind: Column) -> Column:
-    """``array<struct<end_pos int, unit string>>`` of the text's sentence units, in order."""
-    pieces = F.split(_cuts(masked(text), kind), CUT, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<end_pos:int,unit:string>>").alias("out"))
+#: Pieces handled by one inner aggregation; its cost grows with the square of this, not of the text.
+BLOCK = 128
+_UNIT = "array<struct<end_pos:int,unit:string>>"
+#: White space and the byte-order mark, for trimming without a regular expression.
+_BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
+def _block_starts(blocks: Column) -> Column:
+    """Where each block of pieces starts in the text, and where the last one ends."""
+    start = F.struct(F.lit(0).alias("at"), F.array(F.lit(0)).alias("out"))
+
+    def step(acc: Column, block: Column) -> Column:
+        to = acc["at"] + F.aggregate(block, F.lit(0), lambda n, piece: n + F.length(piece))
+        return F.struct(to.alias("at"), F.array_append(acc["out"], to).alias("out"))
+
+    return F.aggregate(blocks, start, step, lambda acc: acc["out"])
+
+
+def _block_units(block: Column, at: Column) -> Column:
+    start = F.struct(at.alias("at"), F.array().cast(_UNIT).alias("out"))
 
     def step(acc: Column, piece: Column) -> Column:
-        bare = F.regexp_replace(piece, r"(?U)[\s﻿]+$", "")
-        one = F.struct(
-            (acc["at"] + F.length(bare)).alias("end_pos"),
-            restored(F.regexp_replace(bare, r"(?U)^[\s﻿]+", "")).alias("unit"),
-        )
+        bare = F.rtrim(piece, F.lit(_BLANKS))
+        one = F.struct((acc["at"] + F.length(bare)).alias("end_pos"), F.ltrim(bare, F.lit(_BLANKS)).alias("unit"))
         out = F.when(F.length(bare) > 0, F.array_append(acc["out"], one)).otherwise(acc["out"])
         return F.struct((acc["at"] + F.length(piece)).alias("at"), out.alias("out"))
 
-    return F.aggregate(pieces, start, step, lambda acc: acc["out"])
+    return F.aggregate(block, start, step, lambda acc: acc["out"])
+
+
+def units(text: Column, kind: Column) -> Column:
+    """``array<struct<end_pos int, unit string>>`` of the text's sentence units, in order.
+
+    The marks are restored in the whole text before it is parted.  Pieces are taken in blocks of
+    ``BLOCK`` with the blocks' starts summed up first, as appending to one array for every piece of
+    a book would copy it each time.
+    """
+    pieces = F.split(restored(_cuts(masked(text), kind)), CUT, -1)
+
+    def in_blocks(p: Column) -> Column:
+        index = F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int"))
+        return F.transform(index, lambda k: F.slice(p, k * BLOCK + 1, F.lit(BLOCK)))
+
+    def from_blocks(blocks: Column) -> Column:
+        return let(_block_starts(blocks), lambda starts: F.flatten(F.transform(blocks, lambda block, k: _block_units(block, F.get(starts, k)))))
+
+    return let(pieces, lambda p: let(in_blocks(p), from_blocks))
+
+
+def _once(documents: DataFrame) -> DataFrame:
+    """One row for each id.  Ids alone are counted; only texts of repeated ids are shuffled."""
+    doubled = materialize(documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "doubled")
+    if doubled.isEmpty():
+        return documents
+    twice = documents.join(doubled, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return documents.join(doubled, "doc_id", "left_anti").unionByName(twice)
 
 
 def split_sentences(documents: DataFrame) -> DataFrame:
     """``(doc_id, position, end_pos, unit)``: the sentence units of every document.
 
     ``position`` counts from 0, ``end_pos`` is the number of characters from the text's start
-    through the unit's last non-blank one.  Null and blank texts have no unit; repeated rows count
-    once; an empty table gives no rows.
+    through the unit's last non-blank one.  Null and blank texts and rows without an id have no
+    unit; repeated rows count once; an empty table gives no rows.
     """
-    base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").dropDuplicates(["doc_id"])
+    base = _once(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null and doc_id is not null"))
     found = base.withColumn("kind", script(F.col("text"))).select("doc_id", F.posexplode(units(F.col("text"), F.col("kind"))).alias("position", "u"))
     return found.select("doc_id", F.col("position").cast("int").alias("position"), F.col("u.end_pos").alias("end_pos"), F.col("u.unit").alias("unit"))
 
