@@ -4,8 +4,9 @@
    a trie with terminal counters, so a content held by a third of all rows leaves each partition
    as a single entry.  The entries are written once, compressed, to the shared folder.
 2. Buckets are the byte prefixes of the entries.  A bucket over ``bucket_bytes`` is split by its
-   next byte, again and again, until each fits or holds nothing but one content; only sizes of
-   prefixes (at most 256 for every bucket that is split) reach the driver.
+   next bytes, twice as many at each level, until each fits or holds nothing but one content.  The
+   oversized prefixes are a table in the shared folder that the entries are joined with; only
+   numbers of rows and bytes reach the driver.
 3. Each bucket is counted in a trie of its own whose terminals hold the smallest id and the count.
 
 Equality is that of the whole canonical bytes; no hash decides.
@@ -14,9 +15,8 @@ Equality is that of the whole canonical bytes; no hash decides.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +26,8 @@ from .kernel import fold_many
 
 #: Bytes of canonical content that one bucket may hold before it is split further.
 BUCKET_BYTES = 24 << 20
-#: Bytes that a prefix may have; contents equal that far stay in one bucket.
-MAX_DEPTH = 4096
-STRIDE = 8
+#: Bytes of a trie's edge; what a row's id counts for in the memory of a partition's trie.
+STRIDE, ID_BYTES = 8, 40
 ENTRY = "in_table string, first_id long, canon binary, n long, copies array<long>"
 CLASS = "in_table string, local_id long, first_id long, n_copies long"
 
@@ -97,6 +96,7 @@ def _collapse(table: str, rows: Iterator[tuple[list[int], list[bytes]]]) -> Iter
                 contents.append(canon)
                 held += len(canon)
             trie.terminals[k][2].append(key)
+        held += ID_BYTES * len(ids)
         if held > 48 << 20:
             yield emit(trie, contents)
             trie, contents, held = Trie(), [], 0
@@ -180,97 +180,86 @@ def record_entries(records: DataFrame, record_id: str = "record_id", raw: str =
     return records.select(F.col(record_id).cast("long"), raw).mapInArrow(_map_records, ENTRY)
 
 
-def split_prefixes(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES, max_depth: int = MAX_DEPTH) -> dict[bytes, int]:
-    """Prefix -> bytes under it, of the buckets after splitting.
+def _first_depth(total: int, bucket_bytes: int) -> int:
+    """Bytes of the first level's prefixes: text has some three bits of choice a byte."""
+    return 1 + max(0, (max(1, total) // bucket_bytes).bit_length() // 3)
 
-    Level by level: the sizes of the prefixes of ``d`` bytes under the oversized prefixes of
-    ``d - 1`` bytes.  A prefix whose entries are all of one content is not split any more.
+
+def in_buckets(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES, depth: int | None = None) -> tuple[DataFrame, int]:
+    """``entries`` with their ``bucket`` (a byte prefix) after splitting, and all their bytes.
+
+    Level by level: the prefixes of ``depth`` bytes that hold too much become a table, the entries
+    under them go on to prefixes of twice the bytes.  A prefix whose entries all have one content
+    is not split any more, so the levels end with the longest content at the latest.
     """
-    leaves: dict[bytes, int] = {}
     size = F.length("canon").cast("long")
-    pending: list[bytes] | None = None
-    for depth in range(1, max_depth + 1):
-        level = entries
-        if pending is not None:
-            level = entries.where(F.substring("canon", 1, depth - 1).isin([bytearray(p) for p in pending]))
-        sizes = (
-            level.groupBy(F.substring("canon", 1, depth).alias("p"))
-            .agg(F.sum(size).alias("b"), F.min("canon").alias("lo"), F.max("canon").alias("hi"))
-            .select("p", "b", (F.col("lo") == F.col("hi")).alias("one"))
-            .collect()
-        )
-        pending = []
-        for row in sizes:
-            prefix, held = bytes(row["p"]), int(row["b"])
-            if held > bucket_bytes and not row["one"] and depth < max_depth:
-                pending.append(prefix)
-                if len(prefix) < depth:  # the content that ends here
-                    leaves[prefix] = held
-                    pending.pop()
-            else:
-                leaves[prefix] = held
-        if not pending:
+    total = int(entries.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0])
+    depth = depth or _first_depth(total, bucket_bytes)
+    content = F.xxhash64("canon")  # only for whether to split; contents themselves are compared whole
+    open_, settled = entries, []
+    while True:
+        level = open_.withColumn("bucket", F.substring("canon", 1, depth))
+        sizes = level.groupBy("bucket").agg(F.sum(size).alias("b"), F.min(content).alias("lo"), F.max(content).alias("hi"))
+        big = materialize(sizes.where((F.col("b") > bucket_bytes) & (F.col("lo") != F.col("hi")) & (F.length("bucket") == depth)).select("bucket"), "big")
+        if big.isEmpty():
+            settled.append(level)
             break
-    return leaves
-
-
-def _packed(leaves: dict[bytes, int], bucket_bytes: int) -> tuple[dict[bytes, int], int]:
-    """Small neighbouring buckets share a partition; returns prefix -> partition and their number."""
-    parts, at, held = {}, 0, 0
-    for prefix in sorted(leaves):
-        if held and held + leaves[prefix] > bucket_bytes:
-            at, held = at + 1, 0
-        parts[prefix] = at
-        held += leaves[prefix]
-    return parts, at + 1
-
-
-def _assigner(parts: dict[bytes, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    depths = sorted({len(p) for p in parts}, reverse=True)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for canon in batch.column("canon").to_pylist():
-                found.append(next((parts[canon[:d]] for d in depths if canon[:d] in parts), 0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int32())], [*batch.schema.names, "part"])
-
-    return run
+        settled.append(level.join(big, "bucket", "left_anti").select(*level.columns))
+        open_ = level.join(big, "bucket", "left_semi").select(*entries.columns)
+        depth *= 2
+    whole = settled[0]
+    for part in settled[1:]:
+        whole = whole.unionByName(part)
+    return whole, total
 
 
 def _count_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tries: dict[str, Trie] = {}
-    locals_: dict[str, list[tuple[int, int]]] = {}
+    """Rows come sorted by table and bucket; one bucket's trie is held at a time."""
+    now: tuple | None = None
+    trie, pairs = Trie(), []
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        if pairs:
+            rows = [(a, *trie.terminals[k][:2]) for a, k in pairs]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([now[0]] * len(rows), pa.string()), *(pa.array(x, pa.int64()) for x in zip(*rows))],
+                ["in_table", "local_id", "first_id", "n_copies"],
+            )
+
     for batch in batches:
-        for table, first, canon, n in zip(*(batch.column(c).to_pylist() for c in ("in_table", "first_id", "canon", "n"))):
-            trie = tries.setdefault(table, Trie())
+        for table, first, canon, n, bucket in zip(*(batch.column(c).to_pylist() for c in ("in_table", "first_id", "canon", "n", "bucket"))):
+            if (table, bucket) != now:
+                yield from counted()
+                now, trie, pairs = (table, bucket), Trie(), []
             k, _ = trie.add(canon)
             t = trie.terminals[k]
             t[0] = first if t[0] is None else min(t[0], first)
             t[1] += n
-            locals_.setdefault(table, []).append((first, k))
-    for table, trie in tries.items():
-        pairs = [(a, *trie.terminals[k][:2]) for a, k in locals_[table]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([table] * len(pairs)), *(pa.array(x, pa.int64()) for x in zip(*pairs))],
-            ["in_table", "local_id", "first_id", "n_copies"],
-        )
+            pairs.append((first, k))
+    yield from counted()
 
 
 def content_classes(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, DataFrame]:
-    """The entries as written to the shared folder, and ``CLASS`` rows: each entry's content class."""
+    """The entries as written to the shared folder, and ``CLASS`` rows: each entry's content class.
+
+    ``n_copies`` is the terminal's counter: the rows of each input partition that have the content.
+    """
     entries = materialize(entries, "entries")
-    leaves = split_prefixes(entries, bucket_bytes)
-    parts, count = _packed(leaves, bucket_bytes)
+    bucketed, total = in_buckets(entries.select("in_table", "first_id", "canon", "n"), bucket_bytes)
     classes = (
-        entries.select("in_table", "first_id", "canon", "n")
-        .mapInArrow(_assigner(parts), "in_table string, first_id long, canon binary, n long, part int")
-        .repartitionById(max(count, 1), F.col("part"))
+        bucketed.repartition(1 + total // bucket_bytes, "in_table", "bucket")
+        .sortWithinPartitions("in_table", "bucket")
         .mapInArrow(_count_bucket, CLASS)
     )
     return entries, classes
 
 
+def _copies_of(entries: DataFrame, several: DataFrame) -> DataFrame:
+    inner = entries.where(F.size("copies") > 0).select("in_table", F.col("first_id").alias("local_id"), "copies")
+    within = several.join(inner, ["in_table", "local_id"]).select("in_table", "first_id", F.explode("copies").alias("copy_id"))
+    return several.select("in_table", "first_id", F.col("local_id").alias("copy_id")).unionByName(within).where("first_id <> copy_id").distinct()
+
+
 def copies(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``(in_table, first_id, copy_id)``: each copy with the smallest id of its content.
 
@@ -278,12 +267,18 @@ def copies(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     do contents that occur once.  A row delivered twice under one id counts once.
     """
     entries, classes = content_classes(entries, bucket_bytes)
-    several = classes.where("n_copies > 1").select("in_table", "local_id", "first_id")
-    inner = entries.where(F.size("copies") > 0).select("in_table", F.col("first_id").alias("local_id"), "copies")
-    within = several.join(inner, ["in_table", "local_id"]).select("in_table", "first_id", F.explode("copies").alias("copy_id"))
-    return several.select("in_table", "first_id", F.col("local_id").alias("copy_id")).unionByName(within).where("first_id <> copy_id").distinct()
+    return _copies_of(entries, classes.where("n_copies > 1").select("in_table", "local_id", "first_id"))
 
 
 def contents(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``(in_table, first_id, n_copies)``: one row for each content, with how many rows have it."""
-    return content_classes(entries, bucket_bytes)[1].select("in_table", "first_id", "n_copies").distinct()
+    """``(in_table, first_id, n_copies)``: one row for each content, with how many rows have it.
+
+    A row delivered twice under one id counts once, also where its deliveries lie in different
+    partitions: contents that occur more than once have their distinct ids counted.
+    """
+    entries, classes = content_classes(entries, bucket_bytes)
+    classes = materialize(classes, "classes")
+    more = _copies_of(entries, classes.where("n_copies > 1").select("in_table", "local_id", "first_id"))
+    counted = more.groupBy("in_table", "first_id").agg((F.count(F.lit(1)) + 1).alias("n_copies"))
+    every = classes.where("local_id = first_id").select("in_table", "first_id").distinct()
+    return every.join(counted, ["in_table", "first_id"], "left").select("in_table", "first_id", F.coalesce("n_copies", F.lit(1).cast("long")).alias("n_copies"))

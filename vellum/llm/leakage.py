@@ -3,9 +3,9 @@
 A seed is a window of ``SPAN`` characters of N(text) hashed under a fixed mask that ignores some
 of its positions, so a substituted character there does not hide the hit.  Every position of the
 test items is indexed, and every ``STEP``-th position of the corpus: an exact run of
-``SPAN + STEP - 1`` = 40 characters always holds a probed position.  A Bloom bitmap of fixed size
-over the test hashes thins out the corpus' probes before the hash join; hits are then verified
-around their place, counting substitutions, against the item's whole text.
+``SPAN + STEP - 1`` = 40 characters always holds a probed position.  A Bloom bitmap over the test
+hashes, sized by their number, thins out the corpus' probes before the hash join; hits are then
+verified around their place, counting substitutions, against the item's whole text.
 """
 
 from __future__ import annotations
@@ -17,12 +17,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .kernel import BASE, U64, fold_many, mix64, points, signed, spread, text_runs
 
 SPAN, STEP = 32, 9
 #: Blocks (start, length) of the positions that count; the others are ignored.
 MASKS = (((0, 8), (12, 8), (24, 8)), ((0, 4), (8, 16), (28, 4)))
-BLOOM_BITS = 1 << 23
+#: The bitmap has this many bits for each test hash and is probed twice (1 % false hits), within
+#: these bounds; beyond the upper one (64 MB, some 33 million hashes) it only thins out less.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
+#: The second probe takes the hash from this bit on.
+SECOND = 32
 #: Characters kept on either side of a probe for the verification; longer overlaps are put
 #: together from the hits along them.
 CONTEXT = 96
@@ -74,7 +79,13 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _prober(bloom):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(bloom.value, bitorder="little").view(bool)
+        table = bloom.value
+        last_bit = U64(8 * len(table) - 1)
+
+        def there(h: np.ndarray) -> np.ndarray:
+            at = (h & last_bit).astype(np.int64)
+            return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
         for ids, texts in text_runs(batches):
             cp, offsets = fold_many(texts)
             values = spread(cp)
@@ -82,7 +93,8 @@ def _prober(bloom):
             keys = np.asarray(ids, dtype=np.int64)
             for mask in range(len(MASKS)):
                 h = _seed_hashes(values, at, mask)
-                hit = np.flatnonzero(bits[(h & U64(BLOOM_BITS - 1)).astype(np.int64)])
+                hit = np.flatnonzero(there(h))
+                hit = hit[there(h[hit] >> U64(SECOND))]
                 if not len(hit):
                     continue
                 d, p = doc[hit], at[hit]
@@ -180,9 +192,8 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     side gives no rows; repeated rows repeat hits only.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    seeds = items.mapInArrow(_item_seeds, "h long, item_id long, item_pos int").distinct()
-    table = np.packbits(_bloom_bits(seeds), bitorder="little")
-    bloom = documents.sparkSession.sparkContext.broadcast(table)
+    seeds = materialize(items.mapInArrow(_item_seeds, "h long, item_id long, item_pos int").distinct(), "seeds")
+    bloom = documents.sparkSession.sparkContext.broadcast(_bloom(seeds))
     probes = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         _prober(bloom), "h long, doc_id long, doc_pos long, at int, around string"
     )
@@ -191,21 +202,23 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return hits.select("item_id", "doc_id", "item_pos", "doc_pos", "at", "around", "item_text").mapInArrow(_verify, VERIFIED)
 
 
-def _bloom_bits(seeds: DataFrame) -> np.ndarray:
-    """``BLOOM_BITS`` booleans; Spark sets the bits, at most ``BLOOM_BITS / 64`` words come back."""
+def _bloom(seeds: DataFrame) -> np.ndarray:
+    """The bitmap as bytes.  Spark sets the bits; at most ``MOST_BITS / 64`` words come back."""
+    n = seeds.count()
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * n - 1).bit_length() if n else LEAST_BITS))
+    both = seeds.select(F.explode(F.array("h", F.shiftrightunsigned("h", SECOND))).alias("h"))
     words = (
-        seeds.select(
-            F.expr(f"cast(shiftright(h & {BLOOM_BITS - 1}L, 6) as int)").alias("w"),
+        both.select(
+            F.expr(f"cast(shiftright(h & {bits - 1}L, 6) as int)").alias("w"),
             F.expr("shiftleft(1L, cast(h & 63L as int))").alias("b"),
         )
         .groupBy("w")
         .agg(F.bit_or("b").alias("b"))
-        .collect()
+        .toPandas()
     )
-    table = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
-    for w, b in words:
-        table[w] = b
-    return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
+    table = np.zeros(bits // 64, dtype=np.int64)
+    table[words["w"].to_numpy(dtype=np.int64)] = words["b"].to_numpy(dtype=np.int64)
+    return table.view(np.uint8)
 
 
 def leaked(documents: DataFrame, benchmark: DataFrame, run: int = SPAN + STEP - 1) -> DataFrame:

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE_BITS = 12
+#: Documents of a range on average; their number follows from it, so no range grows with the corpus.
+RANGE_DOCS = 1 << 16
 
 
 def canonical_source(source: Column) -> Column:
@@ -30,9 +31,14 @@ def sized(documents: DataFrame, size: Column, doc_id: str = "doc_id", source: st
     ).where(F.col("source").isNotNull())
 
 
+def _range_bits(items: DataFrame) -> int:
+    """Keys are hashes, so a range of the leading bits holds its share of a source's documents."""
+    return max(4, (items.count() // RANGE_DOCS).bit_length())
+
+
 def _ranges(items: DataFrame, seed: int) -> DataFrame:
     key = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    return items.withColumn("key", key).withColumn("range", F.shiftrightunsigned("key", 64 - RANGE_BITS))
+    return items.withColumn("key", key).withColumn("range", F.shiftrightunsigned("key", 64 - _range_bits(items)))
 
 
 def _range_sums(keyed: DataFrame) -> DataFrame:
@@ -126,7 +132,7 @@ def shares(items: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
     used = F.coalesce("used_size", zero)
     every = F.sum(used).over(Window.partitionBy(F.lit(1)))
     return p.select(
-        "source", "target_share", "max_repeats", "own_size", "own_docs", "budget", "reachable",
+        "source", "target_share", "max_repeats", "own_size", "own_docs", "wanted", "budget", "reachable",
         F.coalesce("docs_used", zero).alias("docs_used"),
         F.coalesce("uses", zero).alias("uses"),
         used.alias("used_size"),
@@ -135,5 +141,10 @@ def shares(items: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def unreachable(items: DataFrame, targets: DataFrame) -> DataFrame:
-    """``(source)`` of the targets whose share of the total is beyond their capped size."""
-    return plan(items, targets).where(~F.col("reachable")).select("source")
+    """``(source)`` of the targets whose share of the total is beyond their capped size.
+
+    They show in the mixture itself: every document is drawn ``max_repeats`` times, and the size
+    drawn is still less than wanted.
+    """
+    drawn = shares(items, targets)
+    return drawn.where((F.col("used_size") == F.col("max_repeats") * F.col("own_size")) & (F.col("used_size") < F.col("wanted"))).select("source")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import format_duplicates, leakage, mixing, near_duplicates, quality, repetition, scanned, sentences, shared_spans, truncation
 
 
@@ -28,9 +29,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_shares(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    exact = repetition.exact_shares(docs)
     share = F.when(F.col("folded_chars") > 0, F.round(F.col("repeated_chars") / F.col("folded_chars"), 6)).otherwise(0.0)
-    return repetition.judged(docs).join(exact, "doc_id").withColumn("repeated_share", share)
+    return repetition.exact_shares(docs).withColumn("repeated_share", share)
+
+
+def p2_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.judged(table(spark, d, "documents"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -91,7 +95,7 @@ def _by_points(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.unreachable(_by_points(spark, d), table(spark, d, "mix_targets"))
+    return mixing.unreachable(materialize(_by_points(spark, d), "sizes"), table(spark, d, "mix_targets"))
 
 
 def _by_tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -102,14 +106,10 @@ def _by_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
-    from ..session import materialize
-
     return mixing.mixture(materialize(_by_tokens(spark, d), "sizes"), table(spark, d, "mix_targets"))
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    from ..session import materialize
-
     return mixing.shares(materialize(_by_tokens(spark, d), "sizes"), table(spark, d, "mix_targets"))
 
 
@@ -126,5 +126,5 @@ def p10_limits(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_shares, p3_found, p3_units, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_shares, p10_found, p10_rates, p10_limits)
+    f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_shares, p2_verdicts, p3_found, p3_units, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_shares, p10_found, p10_rates, p10_limits)
 }

@@ -1,13 +1,15 @@
 """Repetition inside a single document: a learned decision list over cheap statistics.
 
-One pass computes a few statistics of every text, over all of its short runs.  On a bounded sample of documents the exact repeated
-share is computed as the label, and a decision list is learned from it by sequential covering:
-rules are conjunctions of thresholds, grown on one part of the sample and pruned on the other.
-The list is emitted as one ordered Spark ``CASE`` expression with the verdicts ``clean``,
-``repeating`` and ``unsure``.  Rules for ``clean`` must keep a margin from every repeating sample
-document, so that what they let go is far from the threshold; every other document has its exact
-share computed.  A text with the repeated share also has a least share of repeated short runs
-(``least_dup``), so ``clean`` holds only below that: the list cannot let a repeating text go.
+One pass computes a few statistics of every text, over all of its short runs.  On a bounded sample
+of documents the exact repeated share is computed as the label, and a decision list is learned from
+it by sequential covering: rules are conjunctions of thresholds, grown on one part of the sample and
+pruned on the other, for the clean class and for the repeating one.  The list is emitted as one
+ordered Spark ``CASE`` expression with the verdicts ``clean``, ``repeating`` and ``unsure``.
+
+The first two decide.  Two of the statistics are bounds of the repeated share: ``dup_short`` is at
+least ``least_dup`` where the share is reached, and ``dup_long`` never passes the share.  A verdict
+holds only on its side of these, so the list decides as the exact share would; what it leaves
+unsure, or is beyond the bounds, has its exact share computed.
 """
 
 from __future__ import annotations
@@ -26,10 +28,10 @@ RUN, SHARE = 30, 0.3
 SHORT = 12
 #: Where pieces of text end for the share of repeated pieces.
 STOPS = (".", "!", "?", "\n", "。", "！", "？", "।", "؟")
-#: Documents that the list is learned from, at most.
-SAMPLE = 4000
-FEATURES = ("n", "dup_short", "top_short", "dup_line", "dup_piece", "digit_share")
-STATS = "doc_id long, n double, dup_short double, top_short double, dup_line double, dup_piece double, digit_share double"
+#: Documents that the list is learned from, at most, and how far its thresholds keep from the other class.
+SAMPLE, SLACK = 4000, 0.1
+FEATURES = ("n", "dup_short", "top_short", "dup_long", "dup_line", "dup_piece", "digit_share")
+STATS = "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES)
 
 
 def _repeated_in_order(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -78,10 +80,30 @@ def _pieces_share(text: str, marks: tuple[str, ...]) -> float:
     return again / total if total else 0.0
 
 
+def _long_blocks(cp: np.ndarray, offsets: np.ndarray, block: int = 2 * RUN) -> np.ndarray:
+    """Per document the characters in whole blocks that have begun before, from any place.
+
+    The blocks lie end to end, so this counts some of the repeated characters and none twice.
+    """
+    n_docs = len(offsets) - 1
+    if len(cp) < block:
+        return np.zeros(n_docs, dtype=np.int64)
+    own = owner(offsets)
+    start = np.flatnonzero(inside(offsets, block))
+    doc = own[start]
+    key = mix64(mix64(window_hashes(spread(cp), block)[start]) + doc.astype(U64) * U64(BASE))
+    order = np.argsort(key, kind="stable")
+    again = np.zeros(len(start), dtype=bool)
+    again[order[1:]] = key[order[1:]] == key[order[:-1]]
+    laid = (start - offsets[doc]) % block == 0
+    return block * np.bincount(doc[again & laid], minlength=n_docs)
+
+
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, texts in text_runs(batches):
         cp, offsets = fold_many(texts)
         n = np.diff(offsets)
+        long = _long_blocks(cp, offsets) / np.maximum(1, n)
         dup = np.zeros(len(ids))
         top = np.zeros(len(ids))
         if len(cp) >= SHORT:
@@ -101,7 +123,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         line = [_pieces_share(t, ("\n",)) for t in texts]
         piece = [_pieces_share(t, STOPS) for t in texts]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), *(pa.array(np.asarray(x, dtype=np.float64)) for x in (n, dup, top, line, piece, digit))],
+            [pa.array(ids, pa.int64()), *(pa.array(np.asarray(x, dtype=np.float64)) for x in (n, dup, top, long, line, piece, digit))],
             ["doc_id", *FEATURES],
         )
 
@@ -155,10 +177,10 @@ class DecisionList:
 
 
 def _covers(conditions: list[Condition], x: np.ndarray, slack: float = 0.0) -> np.ndarray:
-    """``slack`` widens every threshold by that share of itself."""
+    """``slack`` widens every threshold: an upper one by that factor, a lower one by its inverse."""
     ok = np.ones(len(x), dtype=bool)
     for f, op, t in conditions:
-        ok &= x[:, f] <= t * (1 + slack) if op == "<=" else x[:, f] > t * (1 - slack)
+        ok &= x[:, f] <= t * (1 + slack) if op == "<=" else x[:, f] > t / (1 + slack)
     return ok
 
 
@@ -200,11 +222,12 @@ def _prune(rule: list[Condition], x: np.ndarray, y: np.ndarray, slack: float) ->
     return rule
 
 
-def learn(x: np.ndarray, y: np.ndarray, slack: float = 1.0, max_rules: int = 8, max_conditions: int = 5, seed: int = 7) -> DecisionList:
+def learn(x: np.ndarray, y: np.ndarray, slack: float = SLACK, max_rules: int = 8, max_conditions: int = 5, seed: int = 7) -> DecisionList:
     """Rules for the clean class first, then for the repeating one; the rest is unsure.
 
     A rule is kept only if, widened by ``slack``, it covers no row of the other class in the
-    whole sample.  With fewer than 50 sample rows no rule is learned.
+    whole sample.  The rows of one that fails are set aside for the growing of that class' next
+    rules, which goes on.  With fewer than 50 sample rows no rule is learned.
     """
     if len(x) < 50:
         return DecisionList([], "unsure")
@@ -213,19 +236,22 @@ def learn(x: np.ndarray, y: np.ndarray, slack: float = 1.0, max_rules: int = 8,
     open_ = np.ones(len(x), dtype=bool)
     rules: list[tuple[list[Condition], str]] = []
     for verdict, target in (("clean", ~y), ("repeating", y)):
+        aside = np.zeros(len(x), dtype=bool)
         for _ in range(max_rules):
-            g, held = open_ & grow, open_ & ~grow
+            # rows that an earlier rule took still count against a rule of the other class
+            g, held = (open_ & ~aside | ~target) & grow, (open_ | ~target) & ~grow
             if not (g & target).any():
                 break
             full = _grow(x[g], target[g], slack, max_conditions)
             rule = _prune(full, x[held], target[held], slack) if full else full
             if rule and (_covers(rule, x, slack) & ~target).any():
                 rule = full
-            if not rule or (_covers(rule, x, slack) & ~target).any():
-                break
             hit = open_ & _covers(rule, x)
-            if hit.sum() < 5:
+            if not rule or hit.sum() < 5:
                 break
+            if (_covers(rule, x, slack) & ~target).any():
+                aside |= hit & target
+                continue
             rules.append((rule, verdict))
             open_ &= ~hit
     return DecisionList(rules, "unsure")
@@ -240,18 +266,26 @@ def exact_shares(documents: DataFrame) -> DataFrame:
 
 
 def fit(documents: DataFrame, sample: int = SAMPLE) -> DecisionList:
-    """Learn from the ``sample`` documents whose ids have the least hashes."""
-    some = documents.where("text is not null").select("doc_id", "text").orderBy(F.xxhash64("doc_id", F.lit(11))).limit(sample)
+    """Learn from the ``sample`` documents whose ids have the least hashes.
+
+    Ids are chosen first and without their texts; statistics and labels are then computed where
+    the chosen texts lie, and only those (a row of numbers a document) come to the driver.
+    """
+    base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null and doc_id is not null")
+    some = base.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample)
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            stats = pa.Table.from_batches(list(_statistics(iter([batch]))), _schema_stats())
-            exact = pa.Table.from_batches(list(_exact_shares(iter([batch]))), _schema_exact())
+        for ids, texts in text_runs(batches):
+            run = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts)], ["doc_id", "text"])
+            stats = pa.Table.from_batches(list(_statistics(iter([run]))), _schema_stats())
+            exact = pa.Table.from_batches(list(_exact_shares(iter([run]))), _schema_exact())
             for c in ("folded_chars", "repeated_chars"):
                 stats = stats.append_column(c, exact.column(c))
             yield from stats.to_batches()
 
-    rows = some.mapInArrow(both, STATS + ", folded_chars long, repeated_chars long").toPandas()
+    # at most ``sample`` ids, so the broadcast is bounded
+    chosen = base.join(F.broadcast(some), "doc_id", "left_semi")
+    rows = chosen.mapInArrow(both, STATS + ", folded_chars long, repeated_chars long").toPandas().sort_values("doc_id")
     x = rows[list(FEATURES)].to_numpy(dtype=np.float64).reshape(-1, len(FEATURES))
     y = ((rows["folded_chars"] > 0) & (rows["repeated_chars"] >= SHARE * rows["folded_chars"])).to_numpy(dtype=bool)
     return learn(x, y)
@@ -275,9 +309,11 @@ def least_dup(share: float = SHARE) -> float:
 
 
 def verdict(rules: DecisionList, share: float = SHARE) -> Column:
-    """The list's verdict; ``clean`` becomes ``unsure`` where the text could be repeating."""
+    """The list's verdict where the bounds allow it, else ``unsure``."""
     said = rules.column()
-    return F.when((said == "clean") & (F.col("dup_short") >= F.lit(least_dup(share))), "unsure").otherwise(said)
+    in_doubt = (said == "clean") & (F.col("dup_short") >= F.lit(least_dup(share))) & (F.col("n") > 0)
+    in_doubt |= (said == "repeating") & ((F.col("dup_long") < F.lit(float(share))) | (F.col("n") == 0))
+    return F.when(in_doubt, "unsure").otherwise(said)
 
 
 def judged(documents: DataFrame, rules: DecisionList | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -289,21 +325,30 @@ def judged(documents: DataFrame, rules: DecisionList | None = None, sample: int
 def repeating(documents: DataFrame, rules: DecisionList | None = None, sample: int = SAMPLE, share: float = SHARE) -> DataFrame:
     """``(doc_id)`` of the documents at least ``share`` of whose N(text) is repeated.
 
-    The decision list lets go of what is clean; the exact share decides the rest.  Null texts and
-    those without letters or digits never count; a repeated row counts once; an empty table gives
-    no rows.
+    The decision list lets go of what is clean and takes what is repeating; the exact share
+    decides the rest.  Null texts and those without letters or digits never count; a repeated row
+    counts once; an empty table gives no rows.
     """
     rules = rules or fit(documents, sample)
     base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-
     stats = base.mapInArrow(_statistics_with_text, STATS + ", text string").withColumn("verdict", verdict(rules, share))
-    open_ = stats.where("verdict <> 'clean'").select("doc_id", "text")
-    return (
-        open_.mapInArrow(_exact_shares, EXACT)
-        .where((F.col("folded_chars") > 0) & (F.col("repeated_chars") >= share * F.col("folded_chars")))
-        .select("doc_id")
-        .distinct()
-    )
+    left = stats.where("verdict <> 'clean'").select("doc_id", F.when(F.col("verdict") == "unsure", F.col("text")).alias("text"))
+    return left.mapInArrow(_settled(share), "doc_id long").distinct()
+
+
+def _settled(share: float):
+    """Ids of rows without a text, which the list has taken, and of those whose exact share suffices."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            taken = batch.filter(batch.column(1).is_null())
+            if taken.num_rows:
+                yield pa.RecordBatch.from_arrays([taken.column(0)], ["doc_id"])
+            for got in _exact_shares(iter([batch])):
+                n, again = got.column(1).to_numpy(), got.column(2).to_numpy()
+                yield pa.RecordBatch.from_arrays([got.column(0).filter(pa.array((n > 0) & (again >= share * n)))], ["doc_id"])
+
+    return run
 
 
 def _statistics_with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .kernel import fold_many
 from .mixing import canonical_source
 
-#: Lengths on either side that a hazard is held against, the false-discovery rate, the least ends.
-NEIGHBOURS, RATE, LEAST = 25, 0.001, 5
+#: Lengths on either side that a hazard is held against, and the false-discovery rate.
+NEIGHBOURS, RATE = 25, 0.001
 #: Share of the documents (and least number) that make a last line's pattern a closing line.
 CLOSER_SHARE, CLOSER_LEAST = 0.0002, 3
 
@@ -189,15 +189,20 @@ def length_hazards(ends: DataFrame, neighbours: int = NEIGHBOURS) -> DataFrame:
     )
 
 
-def limits(ends: DataFrame, rate: float = RATE, least: int = LEAST) -> DataFrame:
-    """The significant lengths: Benjamini-Hochberg over all lengths tested."""
+def limits(ends: DataFrame, rate: float = RATE) -> DataFrame:
+    """The significant lengths: Benjamini-Hochberg over all lengths tested.
+
+    A length's rank is the number of tests whose p is no greater, so ties share theirs.  A p above
+    ``rate`` cannot pass, whatever its rank; the rest is ranked by its distinct values.
+    """
     tests = length_hazards(ends)
     total = tests.agg(F.count(F.lit(1)).alias("tests"))
-    # only lengths with several ends can pass; their ranks among all p are those among themselves
-    some = tests.where((F.col("ends") >= least) & (F.col("p") < rate))
-    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("p"))).crossJoin(F.broadcast(total))
+    some = tests.where(F.col("p") < rate)
+    values = some.groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    # one row for each different p of the few lengths that stand out
+    ranked = values.withColumn("rank", F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("p"))).crossJoin(F.broadcast(total))
     last = ranked.where(F.col("p") <= F.col("rank") / F.col("tests") * rate).agg(F.max("p").alias("bar"))
-    return ranked.crossJoin(F.broadcast(last)).where("p <= bar").select("source", "unit", "length", "ends", "reach", "hazard", "near_hazard", "p")
+    return some.crossJoin(F.broadcast(last)).where("p <= bar").select("source", "unit", "length", "ends", "reach", "hazard", "near_hazard", "p")
 
 
 def closers(ends: DataFrame, share: float = CLOSER_SHARE, least: int = CLOSER_LEAST) -> DataFrame:
@@ -228,16 +233,21 @@ def closing_lines(ends: DataFrame) -> DataFrame:
     return asked.join(known, "form", "left_semi").select("doc_id").distinct().withColumn("closing", F.lit(True))
 
 
-def cut_off() -> Column:
-    """The rule over an ending, ``at_limit`` and ``closing``."""
+def reason() -> Column:
+    """Why a text counts as cut, over an ending, ``at_limit`` and ``closing``; null if it does not.
+
+    ``limit``: it ends at a significant length, without a stop.  ``broken``: it breaks off in a
+    replacement character, a comma or an opening mark.  ``transfer``: running language that ends
+    without a stop and not in a closing line; cuts in transfer have no length in common.
+    """
     sentence = F.col("open") & ~F.col("closing")
     at_limit = F.col("at_limit") & sentence & (F.col("running") | F.col("stops"))
     in_transfer = F.col("running") & sentence & ~(F.col("named") & F.col("after_stop"))
-    return F.col("broken") & F.col("running") | at_limit | in_transfer
+    return F.when(at_limit, "limit").when(F.col("broken") & F.col("running"), "broken").when(in_transfer, "transfer")
 
 
 def judged(documents: DataFrame) -> DataFrame:
-    """Every text's ending with ``at_limit``, ``closing`` and ``cut``."""
+    """Every text's ending with ``at_limit``, ``closing``, ``reason`` and ``cut``."""
     from ..session import materialize
 
     ends = materialize(endings(documents), "endings")
@@ -252,7 +262,8 @@ def judged(documents: DataFrame) -> DataFrame:
         .join(closing_lines(ends), "doc_id", "left")
         .withColumn("closing", F.coalesce("closing", F.lit(False)))
         .withColumn("at_limit", F.col("l1").isNotNull() | F.col("l2").isNotNull())
-        .withColumn("cut", cut_off())
+        .withColumn("reason", reason())
+        .withColumn("cut", F.col("reason").isNotNull())
         .drop("s", "s1", "s2", "l1", "l2", "content")
     )
 
@@ -266,15 +277,20 @@ def truncated(documents: DataFrame) -> DataFrame:
 
 
 def rates(documents: DataFrame) -> DataFrame:
-    """Per source: texts, texts cut off, their share, and how many were cut at a limit."""
-    hit = F.sum(F.col("cut").cast("long"))
+    """Per source: texts, texts cut off, their share, and how many for each reason."""
+
+    def number(why: str) -> Column:
+        return F.sum((F.coalesce("reason", F.lit("")) == why).cast("long"))
+
     return (
         judged(documents)
         .groupBy(F.coalesce("source", F.lit("")).alias("source"))
         .agg(
             F.count(F.lit(1)).alias("texts"),
-            hit.alias("cut"),
+            F.sum(F.col("cut").cast("long")).alias("cut"),
             F.round(F.avg(F.col("cut").cast("double")), 6).alias("cut_rate"),
-            F.sum((F.col("cut") & F.col("at_limit")).cast("long")).alias("cut_at_limit"),
+            number("limit").alias("cut_at_limit"),
+            number("broken").alias("cut_broken"),
+            number("transfer").alias("cut_in_transfer"),
         )
     )
