@@ -94,6 +94,16 @@ def test_short_loops_are_not_let_go(spark):
     assert all((said[i] == "unsure") == (i >= 100) for i in said)
 
 
+def test_the_list_decides_most_documents_both_ways(spark, data):
+    """Learned on whole tables, it settles more than half of the rows, and rightly."""
+    docs = spark.read.parquet(data.rstrip("/").rsplit("/", 1)[0] + "/sf0.01/documents.parquet")
+    said = repetition.judged(docs).join(repetition.exact_shares(docs), "doc_id")
+    true = (F.col("folded_chars") > 0) & (F.col("repeated_chars") >= repetition.SHARE * F.col("folded_chars"))
+    n = {(r.verdict, r.y): r["count"] for r in said.groupBy("verdict", true.alias("y")).count().collect()}
+    assert n.get(("clean", True), 0) == n.get(("repeating", False), 0) == 0
+    assert n["clean", False] > 0.5 * sum(n.values()) and n["repeating", True] > 0.5 * (n["repeating", True] + n.get(("unsure", True), 0))
+
+
 # -- 4 ------------------------------------------------------------------------------------------
 
 
@@ -232,6 +242,15 @@ def test_copies_equal_brute_force(spark, docs, texts, data):
     assert counts == {(k[0], min(v)): len(v) for k, v in groups.items()}
 
 
+def test_redelivered_row_counts_once_across_partitions(spark):
+    rows = [(1, "A b c."), (2, "a B c"), (1, "A b c."), (3, "other"), (4, "x" * 5000), (5, "x" * 5000 + "y"), (5, "x" * 5000 + "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for size in (24 << 20, 100):
+        got = {(r.first_id, r.n_copies) for r in format_duplicates.contents(format_duplicates.document_entries(df), size).collect()}
+        assert got == {(1, 2), (3, 1), (4, 1), (5, 1)}
+        assert ids(format_duplicates.copies(format_duplicates.document_entries(df), size), "first_id", "copy_id") == [(1, 2)]
+
+
 def test_trie_counts_prefixes_apart():
     t = format_duplicates.Trie()
     data = [b"a", b"ab", b"abcdefgh", b"abcdefghi", b"abcdefghabcdefgh", b"abcdefgh", b"a"]

@@ -8,13 +8,16 @@ is the text: its line ends are joined, divided words by the corpus' vocabulary.
 
 The vocabulary comes from one pass over the different texts (copies count once): the number of
 texts that have a word, and of each three letters in capitalised words (names seldom recur, their
-letters do).  Only
-entries of a documented least share are kept, which bounds both tables.
+letters do).  Only entries of a documented least share are kept, which bounds both tables.
+
+Page numbers of one dress count as such where their values rise from page to page; a misread one
+among them is kept for its dress, and one beside a break for its place.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -147,12 +150,84 @@ def _signature(line: str) -> str:
 
 
 def _alike(a: str, b: str) -> bool:
+    if a == b:
+        return True
     if abs(len(a) - len(b)) > 0.25 * max(len(a), len(b)):
         return False
     m = SequenceMatcher(None, a, b, autojunk=False)
     return m.real_quick_ratio() >= SIMILAR and m.quick_ratio() >= SIMILAR and m.ratio() >= SIMILAR
 
 
+class _Lookup:
+    """Numbered signatures by their pairs of characters, so that a line meets only what could be alike.
+
+    Strings whose ratio is ``SIMILAR`` or more have most characters in common, in few blocks; those
+    with under ``LEAST`` of their pairs in common are not compared.
+    """
+
+    LEAST = 0.3
+
+    def __init__(self) -> None:
+        self.signatures: list[str] = []
+        self.by_pair: dict[str, list[int]] = {}
+
+    def add(self, signature: str) -> int:
+        k = len(self.signatures)
+        self.signatures.append(signature)
+        for pair in _pairs(signature):
+            self.by_pair.setdefault(pair, []).append(k)
+        return k
+
+    def alike(self, signature: str) -> Iterator[int]:
+        pairs = _pairs(signature)
+        shared: Counter[int] = Counter()
+        for pair in pairs:
+            shared.update(self.by_pair.get(pair, ()))
+        for k in sorted(k for k, n in shared.items() if n >= self.LEAST * len(pairs)):
+            if _alike(signature, self.signatures[k]):
+                yield k
+
+
+def _pairs(signature: str) -> set[str]:
+    return {signature[i : i + 2] for i in range(len(signature) - 1)} or {signature}
+
+
+#: Letters and marks read for digits, and the values of Roman letters.
+DIGITS_READ = str.maketrans("lI|iOoSsZBb", "11110055286")
+ROMAN_VALUES = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
+
+
+def page_value(core: str) -> int | None:
+    """The number that a page number's core stands for, with digits misread as letters."""
+    low = core.lower()
+    if set(low) <= set(ROMAN_VALUES) and low not in ("l", "ll"):
+        values = [ROMAN_VALUES[c] for c in low]
+        return sum(-a if a < b else a for a, b in zip(values, [*values[1:], 0]))
+    read = core.translate(DIGITS_READ)
+    return int(read) if read.isascii() and read.isdigit() else None
+
+
+def rising(values: list[int]) -> list[int]:
+    """Places of a longest strictly rising sequence."""
+    tails: list[int] = []
+    at: list[int] = []
+    before = [-1] * len(values)
+    for i, v in enumerate(values):
+        k = bisect_left(tails, v)
+        if k == len(tails):
+            tails.append(v)
+            at.append(i)
+        else:
+            tails[k] = v
+            at[k] = i
+        before[i] = at[k - 1] if k else -1
+    out, i = [], at[-1] if at else -1
+    while i >= 0:
+        out.append(i)
+        i = before[i]
+    return out[::-1]
+
+
 def pattern_of(line: str) -> str:
     """Words with capitals as X, digits as 0, the others as they are."""
     return " ".join("X" if w[:1].isupper() else re.sub(r"\d+", "0", w) for w in line.split())
@@ -225,6 +300,7 @@ class Pages:
 
     def _numbers(self, body: list[int], marks: set[int], feeds: set[int]) -> set[int]:
         found: dict[int, str] = {}
+        values: dict[int, int | None] = {}
         for i in body:
             m = _NUMBER.match(self.lines[i])
             if m and (any(c.isdigit() for c in m["n"]) or re.fullmatch(r"[ivxlcIVXLC1lO]+", m["n"])):
@@ -235,6 +311,7 @@ class Pages:
                 if any(z.count(y) != a.count(x) for x, y in ("[]", "()")) or z[-1:] == ".":
                     continue
                 found[i] = f"{a}#{z}"
+                values[i] = page_value(n)
         if not found:
             return set()
         styles = Counter(found.values())
@@ -249,7 +326,12 @@ class Pages:
             i = next(iter(found))
             if i == last and not marks and not feeds and i > 0 and self.lines[i - 1] and not _END.search(self.lines[i - 1]) and self.lines[i - 1][:1].islower():
                 return set()
-        return {i for i, s in found.items() if (s == style and n >= 2) or i in ends or i in near and len(found) == 1}
+        dressed = [i for i, s in found.items() if s == style]
+        told = [i for i in dressed if values[i] is not None]
+        in_order = rising([values[i] for i in told])
+        # a sequence of pages, misread members included; equal or falling numbers are none
+        sequence = set(dressed) if n >= 2 and len(in_order) >= 2 and 2 * len(in_order) >= len(dressed) else set()
+        return {i for i in found if i in sequence or i in ends or i in near and len(found) == 1}
 
     def _headed(self, body: list[int]) -> set[int]:
         """Lines of a title and a page number, apart by blanks."""
@@ -305,26 +387,33 @@ class Pages:
     def _clusters(self, edges: list[int]) -> list[list[int]]:
         usable = [i for i in edges if 6 <= len(self.lines[i]) <= self.width + 14 and not _END.search(self.lines[i]) and self.lines[i][-1] not in _HYPHEN + ",;"]
         usable = [i for i in usable if self.lines[i][:1].isupper() or self.lines[i][:1].isdigit() or not self.lines[i][:1].isalpha() or not self.lines[i][:1].islower()]
-        clusters: list[tuple[str, list[int]]] = []
+        known, members = _Lookup(), []
         for i in usable:
             sig = _signature(self.lines[i])
             if not sig:
                 continue
-            for known, members in clusters:
-                if _alike(sig, known):
-                    members.append(i)
-                    break
+            k = next(known.alike(sig), None)
+            if k is None:
+                known.add(sig)
+                members.append([i])
             else:
-                clusters.append((sig, [i]))
-        out = [m for _, m in clusters]
+                members[k].append(i)
+        out = members
         strong = [m for m in out if len(m) >= 2]
-        # lines elsewhere that are like an accepted cluster's
-        for sig, members in clusters:
-            if len(members) >= 2:
-                for i, x in enumerate(self.lines):
-                    if self.roles[i] == "text" and i not in members and 6 <= len(x) <= self.width + 14 and abs(len(x) - len(self.lines[members[0]])) <= 6:
-                        if _alike(_signature(x), sig):
-                            members.append(i)
+        if strong:
+            # lines elsewhere that are like an accepted cluster's
+            elsewhere, where = _Lookup(), {}
+            sizes = {len(self.lines[m[0]]) + k for m in strong for k in range(-6, 7)}
+            for i, x in enumerate(self.lines):
+                if self.roles[i] == "text" and 6 <= len(x) <= self.width + 14 and len(x) in sizes:
+                    where.setdefault(_signature(x), []).append(i)
+            for sig in where:
+                elsewhere.add(sig)
+            for k, m in enumerate(members):
+                if len(m) >= 2:
+                    own, size = set(m), len(self.lines[m[0]])
+                    near = sorted(i for j in elsewhere.alike(known.signatures[k]) for i in where[elsewhere.signatures[j]])
+                    m.extend(i for i in near if i not in own and abs(len(self.lines[i]) - size) <= 6)
         taken = {i for m in strong for i in m}
         return strong + [m for m in out if len(m) == 1 and m[0] not in taken]
 
