@@ -140,7 +140,89 @@ def test_page_repair():
     text, counts = repair.repair_pages("\n---\n".join(pages))
     assert counts == {"pages_detected": 6, "page_boundaries_detected": 5, "headers_removed": 6, "footers_removed": 6, "page_numbers_removed": 6, "boundary_joins": 1}
     assert all(b in text for b in body) and "---" not in text
-    assert repair.repair_pages("no pages here")[1] == {}
+    assert repair.repair_pages("no pages here") == ("no pages here", {"pages_detected": 1, "page_boundaries_detected": 0})
+
+
+def paged(head, numbers, foot="", left="the miller wrote each sack of grain into the ledger by"):
+    bodies = [f"{left} candle {w}." for w in "one two three four five six seven eight nine ten".split()]
+    return [f"{head(k)}\n{b}{foot}\n{n}" if n else f"{head(k)}\n{b}{foot}" for k, (b, n) in enumerate(zip(bodies, numbers))]
+
+
+def test_page_repair_rules():
+    """One case for each rule of the page repair."""
+    same = lambda k: HEAD
+    # heads whose numbers have one digit or two are one line; but numbers in a head have to be the same
+    assert repair.furniture_signature("Chapter 9_b, page 9") == "chapter 0_b page 0" == repair.furniture_signature("CHAPTER 12_b; page 103")
+    text, n = repair.repair_pages("\f".join(paged(lambda k: f"Reports of the year 18{k + 10} to the board", [""] * 5)))
+    assert n["headers_removed"] == 0
+    text, n = repair.repair_pages("\f".join(paged(lambda k: "Reports of the year 1812 to the board", [""] * 5)))
+    assert n["headers_removed"] == 5 and n.evidence == 5 and abs(n.weight - 5.0) < 1e-9
+    # evidence grows with the share of pages
+    pages = paged(same, [""] * 10)
+    pages[7:] = [p.split("\n", 1)[1] for p in pages[7:]]
+    text, n = repair.repair_pages("\f".join(pages))
+    assert n["headers_removed"] == 7 and abs(n.weight - 7 * 0.85) < 1e-9
+    # numbers with a learned title before them
+    text, n = repair.repair_pages("\f".join(paged(lambda k: f"The Mill House .... {k + 40}", [""] * 6)))
+    assert n["page_numbers_removed"] == 6 and abs(n.weight - 6 * 0.95) < 1e-9 and "Mill House" not in text
+    # a number out of its sequence stays
+    text, n = repair.repair_pages("\f".join(paged(lambda k: f"{k + 10 if k != 3 else 77}", [""] * 6)))
+    assert n["page_numbers_removed"] == 5 and "77" in text
+    # a run of leading numbers at another distance
+    text, n = repair.repair_pages("\f".join(paged(lambda k: f"{k + 10 if k < 6 else k + 11}", [""] * 10)))
+    assert n["page_numbers_removed"] == 10
+    # a foot pasted behind an ellipsis
+    pages = paged(lambda k: f"({k})", [FOOT] * 6)
+    pages[2] = f"(2)\nthe lamp went out ... {FOOT}"
+    text, n = repair.repair_pages("\f".join(pages))
+    assert n["footers_removed"] == 6 and "the lamp went out\n" in text + "\n" and abs(n.weight - (5 * (0.5 + 0.5 * 5 / 6) + 0.75 + 0.25 * 5 / 6)) < 1e-9
+    # a sentence over a break
+    text, n = repair.repair_pages("The keeper of the lane went slowly down to\n---\nthe river.\n---\nNext day.")
+    assert text == "The keeper of the lane went slowly down to the river.\n\nNext day." and (n["boundary_joins"], n.weight, n.evidence) == (1, 0.9, 1)
+    for wrong in ({"markers": ()}, {"window": 0}, {"pages": 1}, {"fraction": 0}):
+        with pytest.raises(ValueError):
+            repair.PageRules(**wrong)
+
+
+def test_span_and_loop_rules():
+    """One case for each rule of the span and the loop repair."""
+    para = "The toll collector of the northern town counted all the lamps along the towpath twice, and wrote each of them into his small ledger before supper."
+    # blanks do not count, the window does, paragraphs are put together anew
+    spaced = para.replace(" ", "  ")
+    assert repair.repair_spans(f"{para}\n \n\n{spaced}\n\nend")[0] == f"{para}\n\nend"
+    far = "\n\n".join([para, *[f"short {k}" for k in range(6)], para])
+    assert repair.repair_spans(far)[1]["duplicate_blocks_removed"] == 0
+    # spans of lines: longest first, compared without regard to blanks, against lines that are still there
+    lines = [f"line number {w} of the long inventory of the northern mill house by the river" for w in "one two three four five".split()]
+    text, n = repair.repair_spans("\n".join([*lines, "between", *(x.replace(" ", "   ", 2) for x in lines), "after"]))
+    assert n["duplicate_blocks_removed"] == 1 and text == "\n".join([*lines, "between", "after"])
+    # loops keep their spacing
+    loop = "start  here " + "the same long\tphrase of several  words again " * 40 + "end"
+    text, n = repair.repair_loops(loop)
+    assert text == "start  here the same long\tphrase of several  words again end" and (n["long_line_loops_removed"], n.evidence, n.weight) == (1, 1, 0.98)
+    assert n["loop_chars_removed"] == len(loop) - len(text)
+    assert repair.repair_loops("the same few words again " * 30)[1]["long_line_loops_removed"] == 0  # 750 characters
+
+
+def test_gram_scans_equal_the_plain_scan():
+    import random
+
+    def scan(words, n):
+        met, total, at = set(), 0, 0
+        while at + n <= len(words):
+            g = tuple(words[at : at + n])
+            if g in met:
+                total, at = total + sum(map(len, g)), at + n
+            else:
+                met.add(g)
+                at += 1
+        return total
+
+    r = random.Random(0)
+    for _ in range(500):
+        w = [r.choice(["aa", "b", "cc", "ddd"][: r.randint(1, 4)]) for _ in range(r.randint(0, 40))]
+        grams = filters.Grams(w)
+        assert [filters.repeated_gram_chars(grams, n) for n in range(2, 7)] == [scan(w, n) for n in range(2, 7)]
 
 
 def test_local_repairs(spark):
@@ -153,7 +235,7 @@ def test_local_repairs(spark):
     raw = "ﬁne ﬂow­\ner so­ft  \n\n\n\n\nend \x07"
     df = repair.repair_book(spark.createDataFrame([(1, raw), (2, "")], "doc_id long, text string"))
     r = {x.doc_id: x for x in df.collect()}
-    assert r[1].text == "fine flower soft\n\n\nend" and r[1].repair.ligatures_normalized == 2 and r[1].repair.soft_hyphens_removed == 2
+    assert r[1].text == "fine flower soft\n\nend" and r[1].repair.ligatures_normalized == 2 and r[1].repair.soft_hyphens_removed == 2
     assert r[1].repair.soft_hyphen_line_joins == 1 and r[1].repair.blank_lines_collapsed == 2 and r[2].repair.chars_after == 0
 
 
@@ -233,10 +315,16 @@ def test_stream_rate_windows(spark, data, tmp_path):
 
 
 def make_input(root):
-    (root / "nested").mkdir(parents=True)
-    story = "The keeper of the lane counted the lamps. " + " ".join(f"Then {w} was lit by the {w[::-1]} of the {w[1:]}." for w in "amber birch cedar delta ember fable grove haven ivory joker knoll lilac".split())
-    (root / "one.jsonl").write_text(json.dumps({"text": story}) + "\nnot-json\n")
-    (root / "nested" / "two.jsonl").write_text(json.dumps({"text": story}) + "\n" + json.dumps({"text": ""}) + "\n")
+    """Two shelves: a letter and its copy in another file, one line cut short, one record without a text."""
+    lamps = "amber birch cedar delta ember fable grove haven ivory joker knoll lilac".split()
+    letter = "My dear sister, the frost has come early. " + " ".join(f"We carried the {w} basket to the barn of {w[::-1]}, and {w[1:]} was left behind." for w in lamps)
+    rows = {"shelf/letters.jsonl": [{"text": letter, "year": 1871}, {"title": "no text here"}], "drafts.jsonl": [{"text": letter}]}
+    for name, items in rows.items():
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("".join(json.dumps(x) + "\n" for x in items))
+    with (root / "drafts.jsonl").open("a") as f:
+        f.write('{"text": "cut')
 
 
 def test_folder_run(spark, tmp_path):

@@ -7,11 +7,14 @@ those that depend on what they did before are Arrow kernels over whole texts.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter, defaultdict
 from functools import reduce
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +35,10 @@ FIELDS = (*COUNTERS, "unicode_chars_changed", "chars_before")
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 
 
+#: An image in Markdown and in HTML.
+IMAGES = (r"!\[[^\]\n]*\]\([^\n)]*\)", r"(?i)<img\b[^>]*>")
+
+
 def start(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds the empty record, one column a field until ``packed`` or ``metrics`` make a struct of them:
     a struct that is taken apart and put together at every step would be inlined each time."""
@@ -103,7 +110,7 @@ def normalize_unicode(df: DataFrame, text: str = "text", max_blank_lines: int |
 
 def remove_images(df: DataFrame, text: str = "text", markdown: bool = True, tags: bool = True, notes: bool = True) -> DataFrame:
     """Image markup and notes about images that a text corpus does not have."""
-    patterns = [p for p, on in ((r"!\[[^\]\n]*\]\([^\n)]*\)", markdown), (r"(?i)<img\b[^>]*>", tags)) if on]
+    patterns = [p for p, on in zip(IMAGES, (markdown, tags)) if on]
 
     def note(line: Column) -> Column:
         v = F.lower(X.strip(line))
@@ -137,20 +144,33 @@ def metrics(df: DataFrame, text: str = "text", penalty_from: float = 0.20, penal
 # -- kernels ------------------------------------------------------------------------------------
 
 
-def _apply(df: DataFrame, text: str, fields: tuple[str, ...], fn, evidence: tuple[str, ...], confidence: float) -> DataFrame:
-    kind = T.StructType([T.StructField("text", T.StringType()), *(T.StructField(f, T.LongType()) for f in fields)])
+class Tally(Counter):
+    """Counters of one text's repair, and the evidence for it."""
+
+    weight, evidence = 0.0, 0
+
+    def note(self, field: str, confidence: float, n: int = 1) -> None:
+        self[field] += n
+        self.weight += n * confidence
+        self.evidence += n
+
+
+def _apply(df: DataFrame, text: str, fields: tuple[str, ...], fn) -> DataFrame:
+    """``fn`` gives the new text and a tally of ``fields``."""
+    extra = (T.StructField("_weight", T.DoubleType()), T.StructField("_evidence", T.LongType()))
+    kind = T.StructType([T.StructField("text", T.StringType()), *(T.StructField(f, T.LongType()) for f in fields), *extra])
 
     @F.pandas_udf(kind)
     def run(s: pd.Series) -> pd.DataFrame:
         rows = []
         for t in s:
-            new, counts = fn(t) if t is not None else (None, {})
-            rows.append((new, *(counts.get(f, 0) for f in fields)))
-        return pd.DataFrame(rows, columns=["text", *fields])
+            new, tally = fn(t) if t is not None else (None, Tally())
+            rows.append((new, *(tally[f] for f in fields), tally.weight, tally.evidence))
+        return pd.DataFrame(rows, columns=["text", *fields, "_weight", "_evidence"])
 
     df = df.withColumn("_k", run(F.col(text))).withColumn(text, F.col("_k.text"))
-    total = reduce(lambda a, b: a + b, [F.col(f"_k.{f}") for f in evidence])
-    return _add(df, {f: F.col(f"_k.{f}") for f in fields}, total, confidence).drop("_k")
+    df = _add(df, {f: F.col(f"_k.{f}") for f in fields})
+    return df.withColumns({"_e_weight": F.col("_e_weight") + F.col("_k._weight"), "_e_count": F.col("_e_count") + F.col("_k._evidence")}).drop("_k")
 
 
 def indel_ratio(a: str, b: str) -> float:
@@ -170,8 +190,9 @@ def indel_ratio(a: str, b: str) -> float:
 
 
 def furniture_signature(line: str) -> str:
-    folded = re.sub(r"\d", "0", unicodedata.normalize("NFKC", line).casefold())
-    return " ".join(re.sub(r"[^\w]|_", " ", folded).split())
+    """Without case, with each run of digits as one 0 and what is no word character as a blank."""
+    folded = re.sub(r"\d+", "0", unicodedata.normalize("NFKC", line).casefold())
+    return re.sub(r"[^\w]+", " ", folded).strip()
 
 
 class PageRules:
@@ -181,215 +202,293 @@ class PageRules:
         self, markers: tuple[str, ...] = ("---",), window: int = 2, pages: int = 3, fraction: float = 0.14, fuzzy: float = 86, shortest: int = 20,
         longest: int = 100, join_chars: int = 25, join_words: int = 4,
     ) -> None:
-        self.markers, self.window, self.pages, self.fraction, self.fuzzy = markers, window, pages, fraction, fuzzy
+        if not markers or any(not m or "\n" in m or "\f" in m for m in markers):
+            raise ValueError("page markers are lines with something in them")
+        if window < 1 or pages < 2 or not 0 < fraction <= 1 or not 0 <= fuzzy <= 100:
+            raise ValueError("window from 1, pages from 2, a fraction in (0, 1], a likeness in 0..100")
+        self.markers, self.window, self.pages, self.fraction, self.fuzzy = tuple(markers), window, pages, fraction, fuzzy
         self.shortest, self.longest, self.join_chars, self.join_words = shortest, longest, join_chars, join_words
 
+    def needed(self, pages: int) -> int:
+        """On how many pages a line has to stand."""
+        return max(self.pages, math.ceil(pages * self.fraction))
+
+    def near(self, a: str, b: str) -> bool:
+        return indel_ratio(a, b) >= self.fuzzy
+
 
 def split_pages(text: str, markers: tuple[str, ...]) -> list[list[str]]:
+    """The lines of every page, empty ones too; a form feed also parts a line."""
     pages: list[list[str]] = [[]]
-    for line in text.replace("\f", "\n\f\n").split("\n"):
-        if line == "\f" or line.strip() in markers:
+    lines = text.split("\n")
+    for k, line in enumerate(lines):
+        if line.strip(" \t") in markers:
             pages.append([])
-        else:
-            pages[-1].append(line)
-    return [p for p in pages if any(x.strip() for x in p)]
-
-
-def _edge(page: list[str], window: int, top: bool) -> list[int]:
-    solid = [i for i, x in enumerate(page) if x.strip()]
-    return solid[:window] if top else solid[::-1][:window]
-
-
-def _learn(pages: list[list[str]], rules: PageRules, top: bool) -> list[str]:
-    """Signatures that recur at the pages' edge, grouped by likeness."""
-    need = max(rules.pages, -(-int(rules.fraction * 100) * len(pages) // 100))
-    support: dict[str, set[int]] = defaultdict(set)
-    numbers: dict[str, Counter] = defaultdict(Counter)
-    for p, page in enumerate(pages):
-        for i in _edge(page, rules.window, top):
-            line = page[i].strip()
-            if rules.shortest <= len(line) <= rules.longest and line[-1] not in ".!?;:":
-                sig = furniture_signature(line)
+            if k == len(lines) - 1:
+                pages[-1].append("")
+            continue
+        first, *others = line.split("\f")
+        pages[-1].append(first)
+        pages.extend([x] for x in others)
+    return pages
+
+
+class Edges:
+    """The lines at the pages' edges: which lines are looked at, and what each of them could be."""
+
+    _BARE = re.compile(r"\d{1,4}")
+    _TITLED = re.compile(r"(.{4,75}?)[\s.·…-]+(\d{1,4})")
+
+    def __init__(self, pages: list[list[str]], rules: PageRules) -> None:
+        self.rules, self.pages = rules, pages
+        solid = [[i for i, x in enumerate(page) if x.strip()] for page in pages]
+        self.head = [s[: rules.window] for s in solid]
+        self.foot = [s[-rules.window :] for s in solid]
+        self.number: dict[tuple[int, int], tuple[int, str]] = {}
+        for p, i in self.places():
+            found = self._numbered(pages[p][i].strip())
+            if found:
+                self.number[p, i] = found
+        self.support = {side: self._furniture(at) for side, at in (("header", self.head), ("footer", self.foot))} if len(pages) >= rules.pages else {"header": {}, "footer": {}}
+        self.expected, self.titles = self._sequence()
+
+    def places(self):
+        for p, (head, foot) in enumerate(zip(self.head, self.foot)):
+            for i in sorted({*head, *foot}):
+                yield p, i
+
+    def _numbered(self, line: str) -> tuple[int, str] | None:
+        """The page number that a line is, or ends in behind a title, and the title's signature."""
+        if self._BARE.fullmatch(line):
+            return int(line), ""
+        m = self._TITLED.fullmatch(line)
+        title = furniture_signature(m[1]) if m else ""
+        return (int(m[2]), title) if any(map(str.isalpha, title)) else None
+
+    def _furniture(self, at: list[list[int]]) -> dict[str, float]:
+        """Signatures of recurring lines with the share of pages that their kind stands on."""
+        rules, need = self.rules, self.rules.needed(len(self.pages))
+        on: dict[str, set[int]] = defaultdict(set)
+        with_digits: dict[str, dict[tuple, set[int]]] = defaultdict(lambda: defaultdict(set))
+        for p, places in enumerate(at):
+            for i in places:
+                line = self.pages[p][i]
+                bare = line.strip()
+                if not rules.shortest <= len(bare) <= rules.longest or bare.endswith((".", "!", "?", ";", ":")):
+                    continue
+                sig = furniture_signature(bare)
                 if len(sig.split()) >= 3:
-                    support[sig].add(p)
-                    numbers[sig][tuple(re.findall(r"\d+", line))] += 1
-    usable = [s for s in support if "0" not in s or numbers[s].most_common(1)[0][1] >= need]
-    usable.sort(key=lambda s: (-len(support[s]), s))
-    groups: list[list[str]] = []
-    for s in usable:
-        for g in groups:
-            if abs(len(s) - len(g[0])) <= max(5, 0.2 * max(len(s), len(g[0]))) and indel_ratio(s, g[0]) >= rules.fuzzy:
-                g.append(s)
-                break
-        else:
-            groups.append([s])
-    return [s for g in groups if len(set().union(*(support[s] for s in g))) >= need for s in g]
-
-
-def _page_numbers(pages: list[list[str]], window: int) -> dict[int, tuple[int, int]]:
-    """Page -> (line, number) where the number keeps an offset to the page's place."""
-    found: list[tuple[int, int, int]] = []
-    for p, page in enumerate(pages):
-        for i in dict.fromkeys(_edge(page, window, True) + _edge(page, window, False)):
-            m = re.fullmatch(r"[\W_]*(\d{1,4})[\W_]*", page[i].strip())
-            if m:
-                found.append((p, i, int(m[1])))
-    offsets = Counter(n - p for p, _, n in found)
-    good = {o for o, k in offsets.items() if k >= 3}
-    by_offset: dict[int, list[int]] = defaultdict(list)
-    for p, _, n in found:
-        by_offset[n - p].append(p)
-    local = {(o, p) for o, ps in by_offset.items() for p in ps if len([q for q in ps if abs(q - p) <= 2]) >= 3}
-    out: dict[int, tuple[int, int]] = {}
-    for p, i, n in found:
-        if p not in out and (n - p in good or (n - p, p) in local):
-            out[p] = (i, n)
-    return out
-
-
-def repair_pages(text: str, rules: PageRules | None = None) -> tuple[str, dict[str, int]]:
+                    on[sig].add(p)
+                    with_digits[sig][tuple(re.findall(r"\d+", line))].add(p)
+        # a line with numbers in it recurs with the same numbers
+        usable = [s for s in on if not any(map(str.isdigit, s)) or max(map(len, with_digits[s].values())) >= need]
+        kinds: list[list[str]] = []
+        for sig in sorted(usable, key=lambda s: (-len(on[s]), s)):
+            own = next((k for k in kinds if abs(len(sig) - len(k[0])) <= max(5, 0.2 * len(k[0])) and rules.near(sig, k[0])), None)
+            own.append(sig) if own else kinds.append([sig])
+        out: dict[str, float] = {}
+        for kind in kinds:
+            held = set().union(*(on[s] for s in kind))
+            if len(held) >= need:
+                out.update(dict.fromkeys(kind, len(held) / len(self.pages)))
+        return out
+
+    def _sequence(self) -> tuple[dict[int, int], set[str]]:
+        """The number that each page should bear, and the titles that may stand before it.
+
+        Numbers keep their distance to the page's place.  Another distance holds where the first
+        lines of several pages in a row keep it (a page was left out or taken together).
+        """
+        rules, count = self.rules, len(self.pages)
+        distance = Counter(n - p for (p, _), (n, _) in self.number.items())
+        if not distance:
+            return {}, set()
+        most = max(distance.values())
+        if most < rules.pages:
+            return {}, set()
+        main = min(d for d, k in distance.items() if k == most)
+        on: dict[str, set[int]] = defaultdict(set)
+        for (p, _), (_, title) in self.number.items():
+            if title:
+                on[title].add(p)
+        titles = {t for t, held in on.items() if len(held) >= rules.needed(count)}
+        expected = {p: p + main for p in range(count)}
+
+        def leading(p: int) -> int | None:
+            n, title = self.number.get((p, self.head[p][0]), (None, "")) if self.head[p] else (None, "")
+            return n - p if n is not None and (not title or title in titles) else None
+
+        for d, run in groupby(range(count), key=leading):
+            held = list(run)
+            if d is not None and d != main and len(held) >= rules.pages:
+                expected.update({p: p + d for p in held})
+        return expected, titles
+
+    def is_number(self, p: int, i: int) -> bool:
+        n, title = self.number.get((p, i), (None, ""))
+        return n is not None and self.expected.get(p) == n and (not title or title in self.titles)
+
+    def pasted_foot(self, line: str) -> tuple[str, float] | None:
+        """What stands before a running foot that follows an ellipsis in its line, and the foot's support."""
+        m = re.match(r"^(.*?)(?:\.{2,}|…)[ \t]*([^\n]{20,100})$", line)
+        if not m or not m[1].strip():
+            return None
+        tail = furniture_signature(m[2])
+        found = next((share for sig, share in self.support["footer"].items() if self.rules.near(tail, sig)), None)
+        return None if found is None else (m[1].rstrip(), found)
+
+
+def repair_pages(text: str, rules: PageRules | None = None) -> tuple[str, Tally]:
+    """Running heads, feet and page numbers go, and pages are put together again.
+
+    Evidence: 0.95 for a number in its sequence, half and half of the support for a running line,
+    three quarters and a quarter of it for a pasted foot, 0.9 for a sentence joined over a break.
+    """
     rules = rules or PageRules()
     pages = split_pages(text, rules.markers)
-    counts: Counter[str] = Counter()
-    if len(pages) < 2:
-        return text, {}
-    counts["pages_detected"] = len(pages)
-    counts["page_boundaries_detected"] = len(pages) - 1
-    heads, feet = set(_learn(pages, rules, True)), set(_learn(pages, rules, False))
-    numbers = _page_numbers(pages, rules.window)
-
-    def like(line: str, known: set[str]) -> bool:
-        sig = furniture_signature(line)
-        if sig in known:
-            return True
-        return bool(sig) and any(abs(len(sig) - len(k)) <= max(5, 0.2 * max(len(sig), len(k))) and indel_ratio(sig, k) >= rules.fuzzy for k in known)
-
-    bodies: list[str] = []
+    tally = Tally(pages_detected=len(pages), page_boundaries_detected=len(pages) - 1)
+    edges = Edges(pages, rules)
+    gone: set[tuple[int, int]] = set()
+    for p, i in edges.places():
+        if edges.is_number(p, i):
+            gone.add((p, i))
+            tally.note("page_numbers_removed", 0.95)
+            continue
+        sig = furniture_signature(pages[p][i])
+        sides = [side for side, at in (("header", edges.head), ("footer", edges.foot)) if i in at[p]]
+        side = next((side for side in sides if sig in edges.support[side]), None)
+        if side:
+            gone.add((p, i))
+            tally.note(f"{side}s_removed", 0.5 + 0.5 * edges.support[side][sig])
+        elif "footer" in sides:
+            pasted = edges.pasted_foot(pages[p][i])
+            if pasted:
+                pages[p][i] = pasted[0]
+                tally.note("footers_removed", 0.75 + 0.25 * pasted[1])
+    out = ""
     for p, page in enumerate(pages):
-        drop: set[int] = set()
-        if p in numbers:
-            drop.add(numbers[p][0])
-            counts["page_numbers_removed"] += 1
-        for i in _edge(page, rules.window, True):
-            if i not in drop and heads and like(page[i].strip(), heads):
-                drop.add(i)
-                counts["headers_removed"] += 1
-        for i in _edge(page, rules.window, False):
-            if i in drop or not feet:
-                continue
-            line = page[i].strip()
-            if like(line, feet):
-                drop.add(i)
-                counts["footers_removed"] += 1
-                continue
-            glued = re.match(r"^(.*?(?:\.\.\.|…))\s*(\S.*)$", line)
-            if glued and like(glued[2], feet):
-                page[i] = glued[1]
-                counts["footers_removed"] += 1
-        body = "\n".join(x for i, x in enumerate(page) if i not in drop).strip("\n")
-        if body.strip():
-            bodies.append(body)
-    out = bodies[0] if bodies else ""
-    for body in bodies[1:]:
-        left = out.rstrip().rsplit("\n", 1)[-1].rstrip()
-        right = body.lstrip()
-        if left and right and left[-1].isalpha() and len(left) >= rules.join_chars and len(left.split()) >= rules.join_words and right[0].islower():
-            out = out.rstrip() + " " + right
-            counts["boundary_joins"] += 1
+        body = "\n".join(x for i, x in enumerate(page) if (p, i) not in gone).strip("\n")
+        if not body:
+            continue
+        if not out:
+            out = body
+        elif _goes_on(out.rsplit("\n", 1)[-1].strip(), body.split("\n", 1)[0].strip(), rules):
+            out = f"{out.rstrip()} {body.lstrip()}"
+            tally.note("boundary_joins", 0.9)
         else:
-            out = out.rstrip() + "\n\n" + body
-    return out, dict(counts)
+            out = f"{out.rstrip()}\n\n{body.lstrip()}"
+    return out, tally
+
+
+def _goes_on(left: str, right: str, rules: PageRules) -> bool:
+    """Whether a page's last line, long enough and ending in a letter, goes on in small letters."""
+    if len(left) < rules.join_chars or len(left.split()) < rules.join_words or not right:
+        return False
+    return left[-1].isalpha() and right[0].isalpha() and right[0].islower()
 
 
 def repair_page_structure(df: DataFrame, text: str = "text", rules: PageRules | None = None) -> DataFrame:
     fields = ("pages_detected", "page_boundaries_detected", "headers_removed", "footers_removed", "page_numbers_removed", "boundary_joins")
-    return _apply(df, text, fields, lambda t: repair_pages(t, rules), ("headers_removed", "footers_removed", "page_numbers_removed", "boundary_joins"), 0.95)
+    return _apply(df, text, fields, lambda t: repair_pages(t, rules))
+
 
+def _bare(value: str) -> str:
+    return " ".join(value.split())
 
-def _eligible(block: str, chars: int, words: int) -> bool:
-    return len(block) >= chars and len(block.split()) >= words
 
+def repair_spans(text: str, chars: int = 100, words: int = 15, window: int = 6, low: int = 2, high: int = 5, line_window: int = 30) -> tuple[str, Tally]:
+    """Long paragraphs that repeat one of the last few, then spans of lines that repeat near ones.
 
-def repair_spans(text: str, chars: int = 100, words: int = 15, window: int = 6, low: int = 2, high: int = 5, line_window: int = 30) -> tuple[str, dict[str, int]]:
-    """Paragraphs, then spans of lines, that repeat a near one."""
-    removed = 0
-    blocks = re.split(r"\n\s*\n", text)
-    last: dict[str, int] = {}
-    kept = []
+    Blanks do not count.  Paragraphs are put together with one empty line between them.  Spans are
+    sought longest first over the whole text, among lines that are still there, each against the
+    nearest earlier one.
+    """
+    blocks, kept, last = re.split(r"\n[ \t]*\n+", text), [], {}
     for i, block in enumerate(blocks):
-        key = " ".join(block.split())
-        if _eligible(key, chars, words):
-            if key in last and i - last[key] <= window:
-                last[key] = i
-                removed += 1
-                continue
+        key = _bare(block)
+        long = len(key) >= chars and len(key.split()) >= words
+        if not (long and i - last.get(key, i - window - 1) <= window):
+            kept.append(block)
+        if long:
             last[key] = i
-        kept.append(block)
-    if removed:
-        text = "\n\n".join(kept)
-    lines = text.split("\n")
-    at = 0
-    out: list[str] = []
-    while at < len(lines):
-        for size in range(high, low - 1, -1):
-            span = lines[at : at + size]
-            joined = " ".join(x.strip() for x in span)
-            if len(span) < size or not all(x.strip() for x in span) or not _eligible(joined, chars, words):
+    removed = len(blocks) - len(kept)
+
+    lines = "\n\n".join(kept).split("\n")
+    bare = [_bare(x) for x in lines]
+    number: dict[str, int] = {}
+    ids = [number.setdefault(x, len(number)) for x in bare]
+    weight = np.concatenate([[[0, 0]], np.cumsum([[len(x), len(x.split())] for x in bare], axis=0)])
+    there = [bool(x) for x in bare]  # neither empty nor removed
+    blank = [not x for x in bare]
+    for size in range(high, low - 1, -1):
+        at: dict[tuple[int, ...], list[int]] = defaultdict(list)
+        long = (weight[size:] - weight[:-size] >= (chars, words)).all(axis=1) if len(lines) >= size else np.empty(0, dtype=bool)
+        for k in np.flatnonzero(long).tolist():
+            if not all(there[k : k + size]):
                 continue
-            base = len(out)
-            if any(out[k : k + size] == span for k in range(max(0, base - line_window), base - size + 1)):
+            earlier = at[tuple(ids[k : k + size])]
+            if any(k - line_window <= e <= k - size and all(there[e : e + size]) for e in reversed(earlier[-line_window:])):
+                there[k : k + size] = [False] * size
                 removed += 1
-                at += size
-                break
-        else:
-            out.append(lines[at])
-            at += 1
-    return "\n".join(out), {"duplicate_blocks_removed": removed}
+            else:
+                earlier.append(k)
+    tally = Tally()
+    if removed:
+        tally.note("duplicate_blocks_removed", 1.0, removed)
+    return "\n".join(x for x, ok, empty in zip(lines, there, blank) if ok or empty), tally
 
 
 def repair_local_spans(df: DataFrame, text: str = "text") -> DataFrame:
-    return _apply(df, text, ("duplicate_blocks_removed",), repair_spans, ("duplicate_blocks_removed",), 1.0)
-
-
-def repair_loops(text: str, line_chars: int = 1000, low: int = 4, high: int = 40, span_chars: int = 35, repeats: int = 4, run_chars: int = 120) -> tuple[str, dict[str, int]]:
-    """In very long lines, phrases said many times in a row are said once."""
-    loops = gone = 0
+    return _apply(df, text, ("duplicate_blocks_removed",), repair_spans)
+
+
+def _loops(words: list[str], begin: np.ndarray, end: np.ndarray, low: int, high: int, span_chars: int, repeats: int, run_chars: int) -> tuple[np.ndarray, ...]:
+    """For every word the most characters that a loop beginning there can lose, with its period and times.
+
+    For each period, how far words equal those one period on is read off for all places at once.
+    """
+    n = len(words)
+    number: dict[str, int] = {}
+    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=n)
+    gain, period, times = (np.zeros(n, dtype=np.int64) for _ in range(3))
+    for p in range(low, min(high, n // repeats) + 1):
+        same = ids[:-p] == ids[p:]
+        stop = np.minimum.accumulate(np.where(same, len(same), np.arange(len(same)))[::-1])[::-1]
+        k = (stop - np.arange(len(same))) // p + 1
+        at = np.flatnonzero((k >= repeats) & (end[p - 1 : p - 1 + len(same)] - begin[: len(same)] >= span_chars))
+        lost = end[at + k[at] * p - 1] - end[at + p - 1]
+        better = (lost >= run_chars) & (lost > gain[at])
+        at, lost = at[better], lost[better]
+        gain[at], period[at], times[at] = lost, p, k[at]
+    return gain, period, times
+
+
+def repair_loops(text: str, line_chars: int = 1000, low: int = 4, high: int = 40, span_chars: int = 35, repeats: int = 4, run_chars: int = 120) -> tuple[str, Tally]:
+    """In very long lines, phrases said many times in a row are said once; spacing stays as it is."""
+    tally = Tally()
     out = []
     for line in text.split("\n"):
-        if len(line) < line_chars:
+        found = list(re.finditer(r"\S+", line)) if len(line) >= line_chars else []
+        if len(found) < low * repeats:
             out.append(line)
             continue
-        words = line.split(" ")
-        kept: list[str] = []
-        at = 0
-        while at < len(words):
-            best = None
-            for size in range(low, min(high, (len(words) - at) // repeats) + 1):
-                unit = words[at : at + size]
-                length = len(" ".join(unit))
-                if length < span_chars:
-                    continue
-                n = 1
-                while words[at + n * size : at + (n + 1) * size] == unit:
-                    n += 1
-                saved = (n - 1) * (length + 1)
-                if n >= repeats and saved >= run_chars and (best is None or saved > best[0]):
-                    best = (saved, size, n)
-            if best is None:
-                kept.append(words[at])
-                at += 1
+        begin, end = (np.array([m.span()[k] for m in found]) for k in (0, 1))
+        gain, period, times = _loops([m[0] for m in found], begin, end, low, high, span_chars, repeats, run_chars)
+        parts, cursor, at = [], 0, 0
+        for k in np.flatnonzero(gain).tolist():
+            if k < at:
                 continue
-            saved, size, n = best
-            kept.extend(words[at : at + size])
-            at += size * n
-            loops += 1
-            gone += saved
-        out.append(" ".join(kept))
-    return "\n".join(out), {"long_line_loops_removed": loops, "loop_chars_removed": gone}
+            p, n = int(period[k]), int(times[k])
+            parts.append(line[cursor : end[k + p - 1]])
+            cursor, at = int(end[k + p * n - 1]), k + p * n
+            tally.note("long_line_loops_removed", 0.98)
+            tally["loop_chars_removed"] += int(gain[k])
+        out.append("".join([*parts, line[cursor:]]))
+    return "\n".join(out), tally
 
 
 def repair_line_loops(df: DataFrame, text: str = "text") -> DataFrame:
-    return _apply(df, text, ("long_line_loops_removed", "loop_chars_removed"), repair_loops, ("long_line_loops_removed",), 1.0)
+    return _apply(df, text, ("long_line_loops_removed", "loop_chars_removed"), repair_loops)
 
 
 def repair_book(df: DataFrame, text: str = "text", rules: PageRules | None = None, images: bool = True, loops: bool = True, **unicode_options) -> DataFrame:

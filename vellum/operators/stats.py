@@ -117,12 +117,18 @@ def unpivoted(df: DataFrame, metrics: Sequence[str], *keep: str) -> DataFrame:
 
 
 def summary(flat: DataFrame, *groups: str) -> DataFrame:
-    """Total, count, mean, extremes and variance of every metric (and group)."""
+    """Total, count, mean, extremes and variance of every metric (and group).
+
+    Metrics have six digits, so they are summed as exact decimals: the order of rows does not matter.
+    """
     v = F.col("value")
-    return flat.groupBy(*groups, "stat").agg(
-        F.round(F.sum(v), 4).alias("total"), F.count(v).alias("n"), F.round(F.avg(v), 6).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.round(F.coalesce(F.var_samp(v), F.lit(0.0)), 4).alias("variance"),
-    )
+    exact = v.cast("decimal(18,6)")
+    sums = flat.groupBy(*groups, "stat").agg(
+        F.sum(exact).alias("d"), F.sum(exact * exact).cast("double").alias("q"), F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max")
+    )
+    s, q, n = F.col("d").cast("double"), F.col("q"), F.col("n")
+    variance = F.when(n > 1, F.greatest(F.lit(0.0), (q - s * s / n) / (n - 1))).otherwise(F.lit(0.0))
+    return sums.select(*groups, "stat", F.round("d", 4).cast("double").alias("total"), "n", F.round(s / n, 6).alias("mean"), "min", "max", F.round(variance, 4).alias("variance"))
 
 
 def histogram(flat: DataFrame, length: str, digits: int = 3) -> DataFrame:

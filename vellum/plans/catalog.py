@@ -505,7 +505,8 @@ def stats_contamination(spark, d):
 
 
 _FLAT = "WITH m AS (" + _stats_sql(_DOC_SQL, "length(text) AS n") + "), f AS (SELECT m.doc_id, source, stat, value FROM (UNPIVOT m ON COLUMNS(* EXCLUDE doc_id) INTO NAME stat VALUE value) m JOIN documents USING (doc_id)) "
-_AGG = "round(sum(value), 4) AS total, count(value) AS n, round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max, round(coalesce(var_samp(value), 0.0), 4) AS variance"
+_AGG = """round(d, 4)::DOUBLE AS total, n, round(d::DOUBLE / n, 6) AS mean, min, max, round(CASE WHEN n > 1 THEN greatest(0.0, (q - d::DOUBLE * d::DOUBLE / n) / (n - 1)) ELSE 0.0 END, 4) AS variance
+FROM (SELECT {0} sum(value::DECIMAL(18, 6)) AS d, sum(value::DECIMAL(38, 6) * value::DECIMAL(38, 6))::DOUBLE AS q, count(value) AS n, min(value) AS min, max(value) AS max FROM f GROUP BY ALL)"""
 
 
 def _flat(spark, d) -> DataFrame:
@@ -514,12 +515,12 @@ def _flat(spark, d) -> DataFrame:
     return stats.unpivoted(wide, list(metrics), "doc_id", "source")
 
 
-@query(_FLAT + f"SELECT stat, {_AGG} FROM f GROUP BY stat")
+@query(_FLAT + "SELECT stat, " + _AGG.format("stat,"))
 def stats_summary(spark, d):
     return stats.summary(_flat(spark, d))
 
 
-@query(_FLAT + f"SELECT source, stat, {_AGG} FROM f GROUP BY source, stat")
+@query(_FLAT + "SELECT source, stat, " + _AGG.format("source, stat,"))
 def stats_by_source(spark, d):
     return stats.summary(_flat(spark, d), "source")
 
