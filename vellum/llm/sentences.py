@@ -53,19 +53,19 @@ def masked(text: Column) -> Column:
     """Marks that end nothing become private-use characters, one for one."""
     x = F.translate(text, CUT + MASKED, " " * (1 + len(MASKED)))
     # addresses
-    x = F.regexp_replace(x, r"(?<=\w)\.(?=\w)", DOT)
+    x = F.regexp_replace(x, r"\.(?=\w)(?<=\w\.)", DOT)
     # Each rule finds the stop first and then looks back, so a text costs little more than its stops.
     alone = r"(?<!\w)"
     # initials, single letters before a stop in Arabic and Devanagari text, and abbreviations
     x = F.regexp_replace(x, rf"(?U)\.(?=\s?\p{{L}}\.)(?<={alone}\p{{Ll}}\.)", DOT)
     initial = rf"(?=\s*[\p{{L}}\d])(?<=(?<![\w{DOT}])[\p{{Lu}}\p{{InArabic}}]\.)"
     x = F.regexp_replace(x, rf"(?U)\.(?:{initial}|(?=\s)(?<={alone}(?:{_alternatives(ABBREVIATIONS)})\.))", DOT)
-    x = F.regexp_replace(x, rf"(?U)\.(?=\s)(?<={alone}(?:{_alternatives(LETTERED)})\.)", DOT)
-    # short Devanagari words; page, section, number before a number; days of the month
+    # lettered abbreviations; short Devanagari words; page, section, number before a number; days of the month
+    lettered = rf"(?=\s)(?<={alone}(?:{_alternatives(LETTERED)})\.)"
     short = rf"(?=\s)(?<={alone}\p{{InDevanagari}}{{1,3}}\.)"
     number = rf"(?=\s*[\d(])(?<={alone}(?:\p{{L}}|no|nos|art|arts|par)\.)"
     day = rf"(?=\s+\p{{L}})(?<=\b(?:{'|'.join(BEFORE_DAY)})\s\d{{1,2}}\.)"
-    x = F.regexp_replace(x, rf"(?U)\.(?:{short}|{number}|{day})", DOT)
+    x = F.regexp_replace(x, rf"(?U)\.(?:{lettered}|{short}|{number}|{day})", DOT)
     # marks inside closed quotations
     spans = "|".join(f"{re.escape(a)}[^{re.escape(a + b)}\\n]*+(?:\\n(?!\\s*\\n)[^{re.escape(a + b)}\\n]*+)*+[{re.escape(b)}]" for a, b in _QUOTED)
     first = "".join(a for a, _ in _QUOTED)
@@ -103,16 +103,16 @@ _GO_ON = "然后|于是|接着|便|就|并|而|[，、；：]"
 
 def _cuts(x: Column, kind: Column) -> Column:
     """Set the boundary character after each unit."""
-    empty_line = F.regexp_replace(x, r"(?U)(?<=\S)(?=[^\S\n]*\n\s*\n)", CUT)
+    empty_line = F.regexp_replace(x, r"(?U)(?=\s)(?=[^\S\n]*+\n\s*\n)(?<=\S)", CUT)
     cased = F.regexp_replace(
         empty_line,
-        rf"(?U)(?<![.!?…])((?:[.!?…]++|{_INNER})+{_TAIL})(?=\s+[{_OPENERS}\s]*[\p{{Lu}}\d])",
+        rf"(?U)(?=[.!?…{MASKED}])(?<![.!?…])((?:[.!?…]++|{_INNER})+{_TAIL})(?=\s+[{_OPENERS}\s]*[\p{{Lu}}\d])",
         "$1" + CUT,
     )
     caseless = F.regexp_replace(
-        empty_line, rf"(?U)(?<![।؟!?۔])((?:[।؟!?۔]++|(?<![{DOT}\p{{Nd}}])\.|{_INNER}(?=[{_CLOSERS}]+\s+[{_OPENERS}]))+{_TAIL})(?=\s)", "$1" + CUT
+        empty_line, rf"(?U)(?=[.।؟!?۔{MASKED}])(?<![।؟!?۔])((?:[।؟!?۔]++|(?<![{DOT}\p{{Nd}}])\.|{_INNER}(?=[{_CLOSERS}]+\s+[{_OPENERS}]))+{_TAIL})(?=\s)", "$1" + CUT
     )
-    han = F.regexp_replace(empty_line, rf"(?s)(?<![。！？．])((?:[。！？．]++|[.!?](?=\s))+[{_HAN_CLOSERS}]*)(?=.)", "$1" + CUT)
+    han = F.regexp_replace(empty_line, rf"(?s)(?=[。！？．.!?])(?<![。！？．])((?:[。！？．]++|[.!?](?=\s))+[{_HAN_CLOSERS}]*)(?=.)", "$1" + CUT)
     han = F.regexp_replace(han, rf"(?s)((?<=[：:])“[^”]*[{MASKED}]”)(?!{_GO_ON})(?=.)", "$1" + CUT)
     thai = F.regexp_replace(empty_line, r"(?U)(?<=[^\s\d])(?=\s+[^\s\d])", CUT)
     return F.when(kind == "thai", thai).when(kind == "han", han).when(kind == "caseless", caseless).otherwise(cased)
