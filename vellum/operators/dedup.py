@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as X
+from ..session import spread
 from .components import connected_components
 
 # -- exact ---------------------------------------------------------------------------------------
@@ -40,9 +41,15 @@ def exact_groups(df: DataFrame, content: Column, order: str = "doc_id", priority
 
 
 def exact_dedup(df: DataFrame, content: Column, order: str = "doc_id", priority: Column | None = None) -> DataFrame:
-    """The survivors with ``duplicate_count``, how many others had their content."""
-    kept = exact_groups(df, content, order, priority).where(F.col(order) == F.col("survivor"))
-    return kept.withColumn("duplicate_count", F.col("group_size") - 1).drop("content_hash", "survivor", "group_size")
+    """The survivors with ``duplicate_count``, how many others had their content.
+
+    Winners are found on hashes and ids alone; rows meet them by id, so no text is shuffled to a
+    content that many rows share.  ``order`` names the rows; rows without a name are left out.
+    """
+    rank = F.struct((-(priority if priority is not None else F.lit(1)).cast("long")).alias("p"), F.col(order).alias("o"))
+    best = df.groupBy(X.sha1_64(content).alias("content_hash")).agg(F.min(rank).alias("m"), F.count(F.lit(1)).alias("n"))
+    winners = best.select(F.col("m.o").alias("_survivor"), (F.col("n") - 1).alias("duplicate_count"))
+    return df.join(winners, F.col(order) == F.col("_survivor")).drop("_survivor")
 
 
 def hash_index(df: DataFrame, content: Column) -> DataFrame:
@@ -158,25 +165,40 @@ def permutations(count: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def signature(grams: list[str], count: int, seed: int = 1) -> np.ndarray:
-    """The least value of every affine hash over the shingles' SHA-1 values."""
+def shingle_values(words: list[str], n: int) -> np.ndarray:
+    """The first eight bytes of the SHA-1 of every different word n-gram."""
+    grams = {" ".join(words[i : i + n]) for i in range(len(words) - n + 1)}
+    whole = b"".join([hashlib.sha1(g.encode()).digest()[:8] for g in grams])
+    return np.frombuffer(whole, dtype="<u8")
+
+
+def signature(values: np.ndarray, count: int, seed: int = 1) -> np.ndarray:
+    """The least value of every affine hash, modulo ``PRIME``, over the shingles' values.
+
+    The remainder by 2**61 - 1 is taken by folding the upper bits; hashes lie one to a row, so that
+    each minimum runs along memory.
+    """
     a, b = permutations(count, seed)
-    h = np.fromiter((int.from_bytes(hashlib.sha1(g.encode()).digest()[:8], "little") for g in grams), dtype=np.uint64, count=len(grams))
+    prime = np.uint64(PRIME)
     least = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(h), 4096):
-        least = np.minimum(least, ((h[at : at + 4096, None] * a + b) % np.uint64(PRIME)).min(axis=0))
+    for at in range(0, len(values), 512):
+        x = values[None, at : at + 512] * a.T + b.T
+        x = (x & prime) + (x >> np.uint64(61))
+        least = np.minimum(least, np.minimum(x, x - prime).min(axis=1))
     return least
 
 
 def minhash_signatures(df: DataFrame, n: int = 5, buckets: int = 14, rows: int = 8, seed: int = 1, order: str = "doc_id", text: str = "text") -> DataFrame:
     """``(order, band, sig)``: per band the ``rows`` minima; documents of under ``n`` words have none."""
-    shaped = df.select(order, X.simplify(F.col(text)).alias("simple")).select(order, X.words(F.col("simple")).alias("w")).where(F.size("w") >= n)
+    shaped = spread(df.select(order, text)).select(order, X.simplify(F.col(text)).alias("simple")).select(order, X.words(F.col("simple")).alias("w"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, bands, sigs = [], [], []
             for key, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                least = signature([" ".join(w[i : i + n]) for i in range(len(w) - n + 1)], buckets * rows, seed).reshape(buckets, rows)
+                if w is None or len(w) < n:  # asked here: as a filter it would have the words computed twice
+                    continue
+                least = signature(shingle_values(w, n), buckets * rows, seed).reshape(buckets, rows)
                 for band in range(buckets):
                     keys.append(key)
                     bands.append(band)
@@ -193,9 +215,11 @@ def minhash_links(signatures: DataFrame, order: str = "doc_id") -> DataFrame:
     """``(src, dst)``: every document of a band bucket linked to the bucket's least one.
 
     A bucket of ``k`` documents gives ``k - 1`` links, which connect it as well as all pairs would.
+    Buckets are told apart by a 64-bit hash of band and minima, which is what is shuffled.
     """
-    first = signatures.groupBy("band", "sig").agg(F.min(order).alias("src"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "sig", "src")
-    return signatures.join(first, ["band", "sig"]).where(F.col(order) != F.col("src")).select("src", F.col(order).alias("dst")).distinct()
+    keyed = signatures.select(F.xxhash64("band", "sig").alias("bucket"), order)
+    first = keyed.groupBy("bucket").agg(F.min(order).alias("src"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "src")
+    return keyed.join(first, "bucket").where(F.col(order) != F.col("src")).select("src", F.col(order).alias("dst")).distinct()
 
 
 def minhash_clusters(signatures: DataFrame, order: str = "doc_id") -> DataFrame:

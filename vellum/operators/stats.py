@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import spread
 
 
 def _ratio_of(items: Column, test) -> Column:
@@ -108,7 +109,7 @@ def unit_metrics(df: DataFrame, unit: str, metrics, *keep: str, text: str = "tex
     """``metrics(text, items)`` with the items of the unit computed once a row."""
     t = F.col(text)
     made = X.let(UNITS[unit](t), lambda items: F.struct(*[c.alias(k) for k, c in metrics(t, items).items()]))
-    return df.select(*keep, made.alias("_m")).select(*keep, "_m.*")
+    return spread(df.select(*keep, text)).select(*keep, made.alias("_m")).select(*keep, "_m.*")
 
 
 def unpivoted(df: DataFrame, metrics: Sequence[str], *keep: str) -> DataFrame:

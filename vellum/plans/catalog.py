@@ -11,7 +11,7 @@ from ..functions import language as L
 from ..functions import text as X
 from ..operators import decontaminate, dedup, filters, formatters, inference, repair, routing, stats, token_files
 from ..operators.components import connected_components
-from ..session import checkpoint, materialize
+from ..session import materialize, spread
 from ..streaming import rate_windows
 from . import sql as S
 
@@ -46,7 +46,7 @@ def _case(*rules: tuple[str, str]) -> str:
 
 
 def _judged(spark: SparkSession, d: str, reason) -> DataFrame:
-    return _docs(spark, d).select("doc_id", reason(F.col("text")).cast("string").alias("filter_reason"))
+    return spread(_docs(spark, d).select("doc_id", "text")).select("doc_id", reason(F.col("text")).cast("string").alias("filter_reason"))
 
 
 def _t():
@@ -202,7 +202,7 @@ g AS (SELECT doc_id, min(i) FILTER (WHERE verdict IN ('lorem_ipsum', 'curly_brac
 
 @query(_C4 + f"SELECT doc_id, CASE WHEN fatal IS NOT NULL THEN fatal WHEN n < 5 THEN 'too_few_sentences' END AS filter_reason, CASE WHEN fatal IS NULL AND n >= 5 THEN length({S.strip('kept')}) ELSE 0 END::BIGINT AS kept_chars FROM g")
 def filter_c4_quality(spark, d):
-    out = filters.c4_quality(_docs(spark, d).select("doc_id", "text"))
+    out = filters.c4_quality(spread(_docs(spark, d).select("doc_id", "text")))
     kept = F.when(F.col("filter_reason").isNull(), F.length("text")).otherwise(0)
     return out.select("doc_id", "filter_reason", kept.cast("long").alias("kept_chars"))
 
@@ -711,7 +711,8 @@ SELECT lang, coalesce(why, 'kept') AS outcome, count(*) AS n FROM r GROUP BY 1,
 )
 def flagship(spark, d):
     """Read, gate, deduplicate; per language what is kept and what is dropped for which reason."""
-    docs = _docs(spark, d).select("doc_id", "lang", "text")
-    kept, dropped = filters.tee(docs, filters.book_quality(_t()))
-    groups = dedup.exact_groups(kept, _t()).select("lang", F.when(F.col("doc_id") == F.col("survivor"), "kept").otherwise("exact_dedup").alias("outcome"))
+    # texts are read and judged once; the rest works on their hashes
+    judged = spread(_docs(spark, d).select("doc_id", "lang", "text")).select("doc_id", "lang", X.sha1_64(_t()).alias("hash"), filters.book_quality(_t()).alias("filter_reason"))
+    kept, dropped = filters.tee(materialize(judged, "judged"), F.col("filter_reason"))
+    groups = dedup.exact_groups(kept, F.col("hash").cast("string")).select("lang", F.when(F.col("doc_id") == F.col("survivor"), "kept").otherwise("exact_dedup").alias("outcome"))
     return groups.unionByName(dropped.select("lang", F.col("filter_reason").alias("outcome"))).groupBy("lang", "outcome").agg(F.count(F.lit(1)).alias("n"))

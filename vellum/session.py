@@ -48,6 +48,15 @@ def _settable(spark: SparkSession) -> bool:
         return False
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, where its scan has fewer partitions than that (a few small files).
+
+    Before a heavy stage only.  Inputs with more partitions than cores come back as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 _LOCAL: dict[str, str] = {}
 
 
