@@ -9,7 +9,7 @@ of them one by one would shuffle a row per character.  Instead:
    token between them are an edge of the graph, whose nodes are the anchors.
 2. **Compaction.**  Grouping the occurrences of each node over all documents gives the repeated
    nodes, and whether all occurrences leave by the same edge and come by the same edge.  Joined
-   back to the sources, runs of such nodes are nonbranching paths: whoever holds one of their
+   back to the sources (those that a bitmap of repeated nodes lets through), runs of such nodes are nonbranching paths: whoever holds one of their
    nodes holds the whole path, so a window that its own anchor's path covers is shared and needs
    no comparison.  The path of an anchor is the same in every document, so all holders of such a
    window leave it out of the comparison alike.
@@ -32,10 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.kernels import Bitmap, bitmap_of
 from ..session import materialize
 from .kernel import BASE, U64, inside, mix64, raw_many, signed, sliding_min, spread, text_runs
 
-SPAN, GRAM = 200, 32
+#: A long anchor is seldom repeated where the window around it is not, a short one makes fewer anchors.
+SPAN, GRAM = 200, 64
 WINDOW = SPAN - GRAM + 1
 #: Occurrences from which a node's windows are compared by aggregation instead of in one task.
 HOT = 20_000
@@ -116,6 +118,34 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _held(table):
+    """Documents with some anchor that the bitmap of repeated nodes may hold, and these anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = Bitmap(table.value)
+        for ids, texts in text_runs(batches):
+            laid = _Laid(texts)
+            _, anchor, grams = _anchors(laid)
+            at, doc = _anchor_table(laid, anchor)
+            hit = bitmap.may_hold(grams[at])
+            at, doc = at[hit], doc[hit]
+            some = np.unique(doc)
+            if not len(some):
+                continue
+            cuts = np.append(np.searchsorted(doc, some), len(doc)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([ids[d] for d in some], pa.int64()),
+                    pa.array([texts[d] for d in some], pa.string()),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(signed(grams[at]))),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array((at - laid.offsets[doc]).astype(np.int32))),
+                ],
+                ["doc_id", "text", "gs", "at"],
+            )
+
+    return run
+
+
 def _all_up_to(flag: np.ndarray) -> np.ndarray:
     """For each place the last place of the run of true values that it starts, or place - 1."""
     n = len(flag)
@@ -306,10 +336,17 @@ def stretches(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
             F.expr(f"cast(1 + if(c0 = c1, 2, 0) + if(l0 = l1, 4, 0) + if(n > {int(hot)}, 8, 0) as tinyint)").alias("flag"),
         )
     )
+    nodes = materialize(nodes, "nodes")
+    repeated = documents.sparkSession.sparkContext.broadcast(bitmap_of(nodes, "g"))
+    # only documents that may hold a repeated node go on, with their texts and such nodes
+    held = materialize(base.mapInArrow(_held(repeated), "doc_id long, text string, gs array<long>, at array<int>"), "held")
     marks = (
-        found.select("g", "doc_id", "pos").join(nodes, "g").groupBy("doc_id").agg(F.collect_set(F.struct("pos", "flag")).alias("marks"))
+        held.select("doc_id", F.explode(F.arrays_zip("gs", "at")).alias("x")).select(F.col("x.gs").alias("g"), "doc_id", F.col("x.at").alias("pos"))
+        .join(nodes, "g").groupBy("doc_id").agg(F.collect_set(F.struct("pos", "flag")).alias("marks"))
+    )
+    work = materialize(
+        held.select("doc_id", "text").join(marks, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "marks").mapInArrow(_paths, WORK), "paths"
     )
-    work = materialize(base.join(marks, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "marks").mapInArrow(_paths, WORK), "paths")
     direct = work.where("kind = 0").select("doc_id", "lo", "hi")
     compared = (
         work.where("kind = 1").select("g", "doc_id", "lo", "piece").repartition("g").sortWithinPartitions("g")
