@@ -1,6 +1,6 @@
 """Mixing sources to target weights.
 
-Every document gets a hash-random key; within its source the keys' order is the order of drawing.
+Every document gets a hash-random key (of its id and the seed, by SHA-1); within its source the keys' order is the order of drawing.
 Keys are cut into ranges, each range's size is summed, ranges are summed up within the source
 (a table of ``sources x ranges`` rows), and positions inside a range come from a window over that
 range alone, so no task holds a whole source.  A source's budget is its share of the total size;
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import sha1_64
+
 #: Documents of a range on average; their number follows from it, so no range grows with the corpus.
 RANGE_DOCS = 1 << 16
 
@@ -37,7 +39,7 @@ def _range_bits(items: DataFrame) -> int:
 
 
 def _ranges(items: DataFrame, seed: int) -> DataFrame:
-    key = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    key = sha1_64(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")))
     return items.withColumn("key", key).withColumn("range", F.shiftrightunsigned("key", 64 - _range_bits(items)))
 
 

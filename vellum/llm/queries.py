@@ -109,6 +109,10 @@ def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture(materialize(_by_tokens(spark, d), "sizes"), table(spark, d, "mix_targets"))
 
 
+def p9_mixture_by_chars(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixture(materialize(_by_points(spark, d), "sizes"), table(spark, d, "mix_targets"))
+
+
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(materialize(_by_tokens(spark, d), "sizes"), table(spark, d, "mix_targets"))
 
@@ -122,9 +126,11 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_limits(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.limits(truncation.endings(table(spark, d, "documents")))
+    found = truncation.limits(truncation.endings(table(spark, d, "documents")))
+    digits = [F.round(c, 6).alias(c) for c in ("hazard", "near_hazard")]
+    return found.select("source", "unit", "length", "ends", "reach", *digits, F.round("log_p", 4).alias("log_p"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_shares, p2_verdicts, p3_found, p3_units, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_shares, p10_found, p10_rates, p10_limits)
+    f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_shares, p2_verdicts, p3_found, p3_units, p4_found, p4_coverage, p5_found, p5_groups, p6_found, p6_contents, p7_found, p7_statistics, p8_found, p8_report, p9_found, p9_mixture, p9_mixture_by_chars, p9_shares, p10_found, p10_rates, p10_limits)
 }

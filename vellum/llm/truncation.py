@@ -185,7 +185,8 @@ def length_hazards(ends: DataFrame, neighbours: int = NEIGHBOURS) -> DataFrame:
     return (
         tested.withColumn("hazard", d / F.col("reach"))
         .withColumn("near_hazard", mu / F.col("reach"))
-        .withColumn("p", F.when(d > mu, F.exp(-(d * F.log(d / mu) - d + mu))).otherwise(1.0))
+        .withColumn("log_p", F.when(d > mu, -(d * F.log(d / mu) - d + mu)).otherwise(0.0))
+        .withColumn("p", F.exp("log_p"))
     )
 
 
@@ -202,7 +203,7 @@ def limits(ends: DataFrame, rate: float = RATE) -> DataFrame:
     # one row for each different p of the few lengths that stand out
     ranked = values.withColumn("rank", F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("p"))).crossJoin(F.broadcast(total))
     last = ranked.where(F.col("p") <= F.col("rank") / F.col("tests") * rate).agg(F.max("p").alias("bar"))
-    return some.crossJoin(F.broadcast(last)).where("p <= bar").select("source", "unit", "length", "ends", "reach", "hazard", "near_hazard", "p")
+    return some.crossJoin(F.broadcast(last)).where("p <= bar").select("source", "unit", "length", "ends", "reach", "hazard", "near_hazard", "p", "log_p")
 
 
 def closers(ends: DataFrame, share: float = CLOSER_SHARE, least: int = CLOSER_LEAST) -> DataFrame:
