@@ -154,6 +154,89 @@ def sha1_64(c: Column) -> Column:
     return F.conv(swapped, 16, -10).cast("long")
 
 
+def sha1_32(c: Column) -> Column:
+    """The first four bytes of SHA-1, little endian, as an unsigned 32-bit number."""
+    h = F.sha1(F.encode(c, "UTF-8"))
+    return F.conv(F.concat(*[F.substring(h, i, 2) for i in range(7, 0, -2)]), 16, 10).cast("long")
+
+
+def xxhash_of(c: Column, bits: int = 64) -> Column:
+    """xxHash of 64 or 32 bits with seed 0 (Spark's own has seed 42), as a signed 64-bit number."""
+
+    @F.pandas_udf(T.LongType())
+    def run(s: pd.Series) -> pd.Series:
+        import xxhash
+
+        digest = xxhash.xxh64_intdigest if bits == 64 else xxhash.xxh32_intdigest
+
+        def one(t: str | None) -> int | None:
+            if t is None:
+                return None
+            h = digest(t.encode())
+            return h - (1 << 64) if h >> 63 else h
+
+        return pd.Series([one(t) for t in s], dtype="Int64")
+
+    return run(c)
+
+
+#: What the normalisation before a language model's perplexity puts for Unicode punctuation.
+PLAIN_PUNCTUATION = {
+    "，": ",", "。": ".", "、": ",", "„": '"', "”": '"', "“": '"', "«": '"', "»": '"', "１": '"', "」": '"', "「": '"', "《": '"', "》": '"',
+    "´": "'", "∶": ":", "：": ":", "？": "?", "！": "!", "（": "(", "）": ")", "；": ";", "–": "-", "—": " - ", "．": ". ", "～": "~", "’": "'",
+    "…": "...", "━": "-", "〈": "<", "〉": ">", "【": "[", "】": "]", "％": "%", "►": "-",
+}
+
+
+def perplexity_form(c: Column, accents: bool = True, case: bool = True, numbers: bool = True, punctuation: int = 1) -> Column:
+    """The form in which a language model is asked: stripped, lower case, without accents, digits as 0,
+    Unicode punctuation as plain one (1), without any (2) or as it is (0), without unprinted characters."""
+    x = strip(c)
+    x = F.lower(x) if case else x
+    x = without_marks(x) if accents else x
+    x = F.regexp_replace(x, r"\p{Nd}", "0") if numbers else x
+    if punctuation == 1:
+        for mark, plain in PLAIN_PUNCTUATION.items():
+            x = F.replace(x, F.lit(mark), F.lit(plain))
+    elif punctuation == 2:
+        x = F.translate(x, "".join(PLAIN_PUNCTUATION), "")
+    return F.translate(x, "".join(chr(k) for k in [*range(32), *range(127, 160)]), "")
+
+
+def parts(c: Column, mode: str = "DOCUMENT") -> Column:
+    """The text in parts that make it whole again: the document, its paragraphs (each with the white
+    space behind it), its sentences; or its words, which do not."""
+    if mode == "DOCUMENT":
+        return F.array(c)
+    if mode == "WORDS":
+        return words(c)
+    if mode == "PARAGRAPH":
+        # a line with something in it opens a part, but for the first; lines after the last break are dropped
+        return F.filter(F.split(F.regexp_replace(c, r"\n\z", ""), rf"(?<=\n)(?=[^\n]*[^\s\x{{A0}}\x{{3000}}])", -1), lambda x: x != "")
+    if mode == "SENTENCE":
+
+        @F.pandas_udf(T.ArrayType(T.StringType()))
+        def run(s: pd.Series) -> pd.Series:
+            from ..operators.kernels import sentence_spans
+
+            def one(t: str | None) -> list[str] | None:
+                if t is None:
+                    return None
+                ends = [b for _, b in sentence_spans(t)]
+                return [t[a:b] for a, b in zip([0, *ends[:-1]], [*ends[:-1], len(t)])] if ends else []
+
+            return s.map(one)
+
+        return run(c)
+    raise ValueError(f"no such parts: {mode}")
+
+
+def pages(text: Column, offsets: Column) -> Column:
+    """The pages that end at ``offsets`` (ascending); what stands behind the last one is none."""
+    begins = F.concat(F.array(F.lit(0)), offsets)
+    return F.transform(offsets, lambda end, k: F.substr(text, F.get(begins, k) + 1, end - F.get(begins, k)))
+
+
 def total_length(items: Column) -> Column:
     return F.aggregate(items, F.lit(0).cast("long"), lambda a, x: a + F.length(x))
 

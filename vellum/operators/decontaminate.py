@@ -49,6 +49,21 @@ def ngram_index(items: DataFrame, key: str = "item_id", text: str = "text", task
     return grams.groupBy("h").agg(F.min("_task").alias("contaminated_task"))
 
 
+def pair_index(
+    items: DataFrame, label: str, query: str, key: str = "item_id", task: str | None = "task", n: int = 12, query_grams: bool = False, overlap_grams: bool = True, marks: bool = True
+) -> DataFrame:
+    """``(h, contaminated_task)`` of questions with answers: n-grams of the label, of the query if
+    asked for, and those that begin in the query and end in the label."""
+    name = F.coalesce(F.col(task).cast("string"), F.lit("")) if task else F.lit("")
+    named = items.select(name.alias("_task"), *[X.words(X.simplify(F.col(c), marks=marks)).alias(a) for c, a in ((label, "l"), (query, "q"))])
+    seam = F.concat(F.slice("q", F.greatest(F.lit(1), F.size("q") - n + 2), F.lit(n - 1)), F.slice("l", 1, n - 1))
+    texts = [F.col("l"), *([F.col("q")] if query_grams else [])]
+    # every n-gram of the seam has words of both sides
+    texts += [F.when(F.col("q").isNotNull() & F.col("l").isNotNull(), seam)] if overlap_grams else []
+    flat = named.select("_task", F.explode(F.array(*texts)).alias("w"))
+    return _grams(flat, n, "_task", "string").groupBy("h").agg(F.min("_task").alias("contaminated_task"))
+
+
 def contaminated(df: DataFrame, index: DataFrame, key: str = "doc_id", text: str = "text", n: int = 12, marks: bool = True) -> DataFrame:
     """``(key, contaminated_ngram, contaminated_task, filter_reason)``: each document that has an
     n-gram of the index, with the first one in its text.

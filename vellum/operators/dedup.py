@@ -82,9 +82,16 @@ def sentence_shingles(df: DataFrame, n: int = 3, order: str = "doc_id", text: st
     return out.where(X.strip(F.col("x.g")) != "").select(order, F.col("x.sent").alias("sent"), X.sha1_64(F.col("x.g")).alias("h"))
 
 
-def sentence_duplicates(shingles: DataFrame, order: str = "doc_id", index: DataFrame | None = None) -> DataFrame:
+def sentence_index(shingles: DataFrame) -> DataFrame:
+    """The distinct shingle hashes of a corpus, to be kept as a table and held against later ones."""
+    return shingles.select("h").distinct()
+
+
+def sentence_duplicates(shingles: DataFrame, order: str = "doc_id", index: DataFrame | None = None, only_index: bool = False) -> DataFrame:
     """``(order, sent)`` of each shingle after its first one in order, repeats in one document included;
-    with an index also those that it has."""
+    with an index also those that it has, or those alone if ``only_index``."""
+    if index is not None and only_index:
+        return shingles.join(index, "h", "left_semi").select(order, "sent").distinct()
     here = F.struct(F.col(order).alias("o"), F.col("sent").alias("s"))
     first = shingles.groupBy("h").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "first")
     again = shingles.join(first, "h").where(here != F.col("first")).select(order, "sent")
@@ -188,9 +195,9 @@ def signature(values: np.ndarray, count: int, seed: int = 1) -> np.ndarray:
     return least
 
 
-def minhash_signatures(df: DataFrame, n: int = 5, buckets: int = 14, rows: int = 8, seed: int = 1, order: str = "doc_id", text: str = "text") -> DataFrame:
+def minhash_signatures(df: DataFrame, n: int = 5, buckets: int = 14, rows: int = 8, seed: int = 1, order: str = "doc_id", text: str = "text", marks: bool = True) -> DataFrame:
     """``(order, band, sig)``: per band the ``rows`` minima; documents of under ``n`` words have none."""
-    shaped = spread(df.select(order, text)).select(order, X.simplify(F.col(text)).alias("simple")).select(order, X.words(F.col("simple")).alias("w"))
+    shaped = spread(df.select(order, text)).select(order, X.simplify(F.col(text), marks=marks).alias("simple")).select(order, X.words(F.col("simple")).alias("w"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,8 +236,16 @@ def minhash_clusters(signatures: DataFrame, order: str = "doc_id") -> DataFrame:
     return found.join(sizes, "component").select(F.col("node").alias(order), F.col("component").alias("minhash_cluster_id"), "minhash_cluster_size")
 
 
-def minhash_dedup(df: DataFrame, clusters: DataFrame, order: str = "doc_id") -> DataFrame:
-    """One document of each cluster (the least id) and all others, with cluster id (-1) and size (1)."""
+def minhash_dedup(df: DataFrame, clusters: DataFrame, order: str = "doc_id", known: DataFrame | None = None) -> DataFrame:
+    """One document of each cluster (the least id) and all others, with cluster id (-1) and size (1).
+
+    With ``known`` (the ids of :func:`index_matches`) clusters that hold one of these go whole, as
+    an earlier corpus has them; so do known documents that are in no cluster.
+    """
+    if known is not None:
+        listed = clusters.select(order, "minhash_cluster_id").join(known.select(order).distinct(), order)
+        old = listed.select("minhash_cluster_id").distinct()
+        df = df.join(known.select(order).distinct().unionByName(clusters.join(old, "minhash_cluster_id", "left_semi").select(order)).distinct(), order, "left_anti")
     joined = df.join(clusters, order, "left").where(F.col("minhash_cluster_id").isNull() | (F.col("minhash_cluster_id") == F.col(order)))
     return joined.withColumn("minhash_cluster_id", F.coalesce("minhash_cluster_id", F.lit(-1).cast("long"))).withColumn(
         "minhash_cluster_size", F.coalesce("minhash_cluster_size", F.lit(1).cast("long"))
@@ -238,9 +253,24 @@ def minhash_dedup(df: DataFrame, clusters: DataFrame, order: str = "doc_id") ->
 
 
 def band_index(signatures: DataFrame) -> DataFrame:
+    """The band buckets of a corpus, to be kept as a table and held against later ones."""
     return signatures.select("band", "sig").distinct()
 
 
+def index_matches(signatures: DataFrame, index: DataFrame, order: str = "doc_id") -> DataFrame:
+    """``(order)`` of the documents that share a band bucket with an indexed corpus."""
+    keyed = signatures.select(F.xxhash64("band", "sig").alias("bucket"), order)
+    return keyed.join(index.select(F.xxhash64("band", "sig").alias("bucket")).distinct(), "bucket", "left_semi").select(order).distinct()
+
+
+def minhash_dedup_against(df: DataFrame, signatures: DataFrame, index: DataFrame, only_index: bool = False, order: str = "doc_id") -> DataFrame:
+    """``df`` without what an indexed corpus has; duplicates within ``df`` stay if ``only_index``."""
+    known = index_matches(signatures, index, order)
+    if only_index:
+        return df.join(known, order, "left_anti")
+    return minhash_dedup(df, minhash_clusters(signatures, order), order, known)
+
+
 # -- first-seen shingles (the exact counterpart of a Bloom filter) ---------------------------------
 
 

@@ -132,6 +132,18 @@ def summary(flat: DataFrame, *groups: str) -> DataFrame:
     return sums.select(*groups, "stat", F.round("d", 4).cast("double").alias("total"), "n", F.round(s / n, 6).alias("mean"), "min", "max", F.round(variance, 4).alias("variance"))
 
 
+def host(url: Column) -> Column:
+    """The host of an address in small letters, without user, port and last dot; null if there is none."""
+    found = F.regexp_extract(F.trim(url), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]+)", 1)
+    return F.nullif(F.regexp_replace(F.lower(found), r"\.$", ""), F.lit(""))
+
+
+def suffix(name: Column, known: Sequence[str] = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in", "co.za")) -> Column:
+    """A host's suffix: its last two labels where they are listed, else its last one.  No public list is at hand."""
+    two = F.regexp_extract(name, r"([^.]+\.[^.]+)$", 1)
+    return F.when(two.isin(*known), two).otherwise(F.regexp_extract(name, r"([^.]+)$", 1))
+
+
 def histogram(flat: DataFrame, length: str, digits: int = 3) -> DataFrame:
     """Documents and their characters at every rounded value of every metric."""
     return flat.groupBy("stat", F.round("value", digits).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("chars"))

@@ -217,6 +217,19 @@ def filter_badwords(spark, d):
     return _judged(spark, d, lambda t: filters.bad_words(t, ["tar", "barley"]))
 
 
+_LISTED = {"en": ("tar", "barley"), "de": ("mühle", "brot"), "zh": ("河",)}
+
+
+def _listed_sql(lang: str, words: tuple[str, ...]) -> str:
+    body = "|".join(words)
+    return f"WHEN coalesce(lang, 'en') = '{lang}' AND regexp_matches(lower(text), '{body if lang == 'zh' else f'(?:[^0-9A-Za-z_]|^)(?:{body})(?:[^0-9A-Za-z_]|$)'}') THEN 'document_removed_with_badwords_{lang}'"
+
+
+@query(_filter_sql("CASE " + " ".join(_listed_sql(k, v) for k, v in _LISTED.items()) + " END", "text, lang"))
+def filter_badwords_by_language(spark, d):
+    return _docs(spark, d).select("doc_id", filters.bad_words_by_language(_t(), _LISTED, F.col("lang")).alias("filter_reason"))
+
+
 @query(
     f"""WITH {S.DOCS}, p AS (SELECT doc_id, text, list_filter(string_split(text, chr(10)), lambda x: {S.strip('x')} <> '') AS l, {S.words('text')} AS w FROM docs)
 SELECT doc_id, CASE WHEN len(l) = 0 THEN 'empty' WHEN len(list_filter(l, lambda x: regexp_matches(x, {S.q('[.!?' + X.terminal_class() + ']' + chr(92) + 'z')}))) / len(l) < 0.12 THEN 'line_punct_ratio'
@@ -309,6 +322,11 @@ def hash_sha1_64(spark, d):
     return _docs(spark, d).select("doc_id", X.sha1_64(_t()).alias("h"))
 
 
+@query(f"WITH {S.DOCS} SELECT doc_id, ('0x' || substr(sha1(text), 7, 2) || substr(sha1(text), 5, 2) || substr(sha1(text), 3, 2) || substr(sha1(text), 1, 2))::BIGINT AS h FROM docs")
+def hash_sha1_32(spark, d):
+    return _docs(spark, d).select("doc_id", X.sha1_32(_t()).alias("h"))
+
+
 @query(f"WITH {S.DOCS}, w AS (SELECT doc_id, {S.words('text')} AS w FROM docs) SELECT doc_id, unnest(range(0, len(w) - 4))::INT AS pos, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS ngram FROM w WHERE len(w) >= 5")
 def word_ngrams(spark, d):
     return _docs(spark, d).select("doc_id", F.posexplode(X.ngrams(X.words(_t()), 5)).alias("pos", "ngram"))
@@ -361,31 +379,82 @@ def dedup_sentence(spark, d):
     return out.select("doc_id", "removed", "filter_reason", F.length("text").alias("chars"))
 
 
-def _signatures(spark, d) -> DataFrame:
-    return materialize(dedup.minhash_signatures(_docs(spark, d)), "signatures")
+def _signatures(spark, d, marks: bool = False) -> DataFrame:
+    return materialize(dedup.minhash_signatures(_docs(spark, d), marks=marks), "signatures")
 
 
-@query()
+def _minhash_sql(buckets: int = 14, rows: int = 8) -> str:
+    a, b = (x[0].tolist() for x in dedup.permutations(buckets * rows))
+    drawn = ", ".join(f"({k}, {x}::HUGEINT, {y}::HUGEINT)" for k, (x, y) in enumerate(zip(a, b)))
+    shingle = S.sha1_64_unsigned("g")
+    return f"""{S.DOCS}, w AS (SELECT doc_id, {S.words(S.simplify('text'))} AS w FROM docs),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM w WHERE len(w) >= 5),
+x AS (SELECT doc_id, {shingle} AS x FROM s), drawn(k, a, b) AS (VALUES {drawn}),
+m AS (SELECT doc_id, k, min((x * a + b) % 18446744073709551616 % {dedup.PRIME}) AS m FROM x CROSS JOIN drawn GROUP BY doc_id, k),
+sig AS (SELECT doc_id, (k // {rows})::INT AS band, string_agg(m::VARCHAR, ',' ORDER BY k) AS sig FROM m GROUP BY 1, 2)"""
+
+
+_SIG = _minhash_sql()
+_LINKS = ", f AS (SELECT band, sig, min(doc_id) AS src FROM sig GROUP BY 1, 2), l AS (SELECT DISTINCT src, doc_id AS dst FROM sig JOIN f USING (band, sig) WHERE doc_id <> src)"
+_CLUSTERS = """, e AS (SELECT src AS x, dst AS y FROM l UNION SELECT dst, src FROM l),
+z AS (SELECT x AS node, x AS met FROM e UNION SELECT z.node, e.y FROM z JOIN e ON e.x = z.met),
+c AS (SELECT node AS doc_id, min(met) AS minhash_cluster_id, count(*) AS minhash_cluster_size FROM z GROUP BY node)"""
+
+
+@query(f"WITH {_SIG} SELECT * FROM sig")
 def minhash_signature(spark, d):
-    return dedup.minhash_signatures(_docs(spark, d)).select("doc_id", "band", F.array_join(F.transform("sig", lambda x: x.cast("string")), ",").alias("sig"))
+    return dedup.minhash_signatures(_docs(spark, d), marks=False).select("doc_id", "band", F.array_join(F.transform("sig", lambda x: x.cast("string")), ",").alias("sig"))
 
 
-@query()
+@query(f"WITH {_SIG}{_LINKS} SELECT src, dst FROM l")
 def minhash_links(spark, d):
     return dedup.minhash_links(_signatures(spark, d))
 
 
-@query()
+@query(f"WITH RECURSIVE {_SIG}{_LINKS}{_CLUSTERS} SELECT * FROM c")
 def minhash_clusters(spark, d):
     return dedup.minhash_clusters(_signatures(spark, d))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_SIG}{_LINKS}{_CLUSTERS} SELECT doc_id, coalesce(minhash_cluster_id, -1)::BIGINT AS minhash_cluster_id, coalesce(minhash_cluster_size, 1)::BIGINT AS minhash_cluster_size
+FROM docs LEFT JOIN c USING (doc_id) WHERE minhash_cluster_id IS NULL OR minhash_cluster_id = doc_id""")
 def dedup_minhash(spark, d):
     docs = _docs(spark, d).select("doc_id", "text")
     return dedup.minhash_dedup(docs, dedup.minhash_clusters(_signatures(spark, d))).drop("text")
 
 
+_OLD = "coalesce(source, '') = 'harbour_archive'"
+_AGAINST = f", o AS (SELECT DISTINCT band, sig FROM sig JOIN docs USING (doc_id) WHERE {_OLD}), n AS (SELECT sig.* FROM sig JOIN docs USING (doc_id) WHERE NOT {_OLD}), k AS (SELECT DISTINCT doc_id FROM n JOIN o USING (band, sig))"
+
+
+def _against(spark, d, only_index: bool) -> DataFrame:
+    docs = _docs(spark, d).select("doc_id", "source")
+    old = F.coalesce("source", F.lit("")) == "harbour_archive"
+    sigs = _signatures(spark, d)
+    index = dedup.band_index(sigs.join(docs.where(old), "doc_id", "left_semi"))
+    fresh = docs.where(~old).drop("source")
+    return dedup.minhash_dedup_against(fresh, sigs.join(fresh, "doc_id", "left_semi"), index, only_index)
+
+
+@query(f"WITH {_SIG}{_AGAINST} SELECT doc_id FROM docs WHERE NOT {_OLD} AND doc_id NOT IN (SELECT doc_id FROM k)")
+def dedup_minhash_only_index(spark, d):
+    return _against(spark, d, True)
+
+
+@query(f"""WITH RECURSIVE {_SIG}{_AGAINST}{_LINKS.replace('FROM sig', 'FROM n')}{_CLUSTERS}, h AS (SELECT DISTINCT minhash_cluster_id FROM c JOIN k USING (doc_id))
+SELECT doc_id, coalesce(minhash_cluster_id, -1)::BIGINT AS minhash_cluster_id, coalesce(minhash_cluster_size, 1)::BIGINT AS minhash_cluster_size FROM docs LEFT JOIN c USING (doc_id)
+WHERE NOT {_OLD} AND doc_id NOT IN (SELECT doc_id FROM k) AND (minhash_cluster_id IS NULL OR minhash_cluster_id = doc_id AND minhash_cluster_id NOT IN (SELECT minhash_cluster_id FROM h))""")
+def dedup_minhash_index(spark, d):
+    return _against(spark, d, False)
+
+
+@query(_SHINGLES + f", o AS (SELECT DISTINCT h FROM h JOIN docs USING (doc_id) WHERE {_OLD}) SELECT DISTINCT doc_id, sent FROM h JOIN docs USING (doc_id) WHERE NOT {_OLD} AND h IN (SELECT h FROM o)")
+def sentence_duplicates_index(spark, d):
+    docs = _docs(spark, d).select("doc_id", "text", (F.coalesce("source", F.lit("")) == "harbour_archive").alias("old"))
+    index = dedup.sentence_index(dedup.sentence_shingles(docs.where("old"), marks=False))
+    return dedup.sentence_duplicates(dedup.sentence_shingles(docs.where("not old"), marks=False), index=index, only_index=True)
+
+
 @query("""WITH RECURSIVE e AS (SELECT a.doc_id AS x, b.m AS y FROM documents a JOIN (SELECT text, min(doc_id) AS m FROM documents WHERE length(text) > 0 GROUP BY text) b ON a.text = b.text WHERE a.doc_id <> b.m)
 SELECT x AS node, y AS component FROM e UNION SELECT y, y FROM e""")
 def components_of_copies(spark, d):
@@ -525,6 +594,26 @@ def stats_by_source(spark, d):
     return stats.summary(_flat(spark, d), "source")
 
 
+_HOSTED = "WITH m AS (" + _stats_sql(_DOC_SQL, "length(text) AS n") + f"), u AS (SELECT doc_id, regexp_extract({_URL}, '^https://([^/]+)', 1) AS host FROM documents), f AS (SELECT host, regexp_extract(host, '([^.]+)$', 1) AS suffix, stat, value FROM (SELECT doc_id, stat, value FROM (UNPIVOT m ON COLUMNS(* EXCLUDE doc_id) INTO NAME stat VALUE value)) JOIN u USING (doc_id)) "
+
+
+def _hosted(spark, d) -> DataFrame:
+    metrics = stats.doc_metrics(_t())
+    url = F.concat(F.lit("https://www."), F.coalesce(F.replace(F.lower("source"), F.lit(" "), F.lit("-")), F.lit("none")), F.lit(".example.com/"), F.col(_META))
+    named = _docs(spark, d).withColumn("host", stats.host(url)).withColumn("suffix", stats.suffix(F.col("host")))
+    return stats.unpivoted(stats.with_metrics(named, metrics, "host", "suffix"), list(metrics), "host", "suffix")
+
+
+@query(_HOSTED + "SELECT host, stat, " + _AGG.format("host, stat,"))
+def stats_by_host(spark, d):
+    return stats.summary(_hosted(spark, d), "host")
+
+
+@query(_HOSTED + "SELECT suffix, stat, " + _AGG.format("suffix, stat,"))
+def stats_by_suffix(spark, d):
+    return stats.summary(_hosted(spark, d), "suffix")
+
+
 @query("WITH m AS (" + _stats_sql(_DOC_SQL, "length(text) AS n") + "), f AS (SELECT doc_id, length AS chars, stat, value FROM (SELECT doc_id, length, unnest(['white_space_ratio', 'digit_ratio', 'uppercase_ratio']) AS stat, unnest([white_space_ratio, digit_ratio, uppercase_ratio]) AS value FROM m)) SELECT stat, round(value, 3) AS key, count(*) AS n, sum(chars)::BIGINT AS chars FROM f GROUP BY 1, 2")
 def stats_histogram(spark, d):
     m = {k: v for k, v in stats.doc_metrics(_t()).items() if k in ("white_space_ratio", "digit_ratio", "uppercase_ratio")}

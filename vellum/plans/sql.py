@@ -70,6 +70,12 @@ def sha1_64(x: str) -> str:
     return f"(CASE WHEN {u} >= 9223372036854775808 THEN {u} - 18446744073709551616 ELSE {u} END)::BIGINT"
 
 
+def sha1_64_unsigned(x: str) -> str:
+    h = f"sha1({x})"
+    swapped = " || ".join(f"substr({h}, {i}, 2)" for i in range(15, 0, -2))
+    return f"('0x' || {swapped})::UBIGINT::HUGEINT"
+
+
 def ratio_of(items: str, test: str) -> str:
     return share(f"len(list_filter({items}, lambda x: {test}))", f"len({items})")
 
