@@ -351,6 +351,76 @@ def test_command_line(tmp_path):
         sources.roots([str(tmp_path), str(tmp_path / "a")])
 
 
+def test_lines_are_numbered_over_blocks(spark):
+    rows = [(f, b, 1000 * b + k, f"{f}{b}{k}") for f, blocks in (("a", (3, 1, 4)), ("b", (2,))) for b, n in enumerate(blocks) for k in range(n)]
+    got = folder.numbered_lines(spark.createDataFrame(rows, "relpath string, block long, at long, raw string").repartition(5))
+    assert {(r.relpath, r.line): r.raw for r in got.collect()} == {
+        **{("a", i + 1): x for i, x in enumerate(["a00", "a01", "a02", "a10", "a20", "a21", "a22", "a23"])}, ("b", 1): "b00", ("b", 2): "b01",
+    }
+
+
+def test_classified_parts(spark):
+    def predict(parts):
+        return [{"good": 0.9, "bad": 0.1} if "lamp" in p else {"good": 0.2, "bad": 0.8} for p in parts]
+
+    df = spark.createDataFrame([(1, "A lamp.\n\nA cart.\nA lamp again."), (2, "A cart."), (3, None), (4, "")], "doc_id long, text string")
+    kept = {r.doc_id: r for r in filters.classified(df, predict, keep=[("good", 0.5)], mode="PARAGRAPH").collect()}
+    assert kept[1].text == "A lamp.\n\nA lamp again." and kept[1].filter_reason is None and abs(kept[1].scores["good"] - 2 / 3) < 1e-9
+    assert kept[2].filter_reason == "classifier" and kept[3].text is None and kept[3].filter_reason == kept[4].filter_reason == "classifier"
+    assert {r.doc_id for r in filters.classified(df, predict, remove=[("bad", 0.5)]).where("filter_reason is null").collect()} == {1}
+
+
+def test_parts_hashes_and_pages(spark):
+    import xxhash
+
+    text = "One line.  Two here.\nmore\n\n \nThree. Four"
+    df = spark.createDataFrame([(text,), (None,), ("",)], "t string")
+    t = F.col("t")
+    got = df.select(X.parts(t).alias("d"), X.parts(t, "PARAGRAPH").alias("p"), X.parts(t, "SENTENCE").alias("s"), X.parts(t, "WORDS").alias("w")).collect()
+    assert got[0].d == [text] and got[0].p == ["One line.  Two here.\n", "more\n\n \n", "Three. Four"]
+    assert "".join(got[0].s) == text and len(got[0].s) == 5 and len(got[0].w) == 7 and got[2].p == []
+    h = df.select(X.xxhash_of(t).alias("a"), X.xxhash_of(t, 32).alias("b")).first()
+    assert h.a % (1 << 64) == xxhash.xxh64_intdigest(text) and h.b == xxhash.xxh32_intdigest(text)
+    pages = spark.createDataFrame([("abcdefg", [2, 5])], "t string, o array<int>")
+    assert pages.select(X.pages(F.col("t"), F.col("o"))).first()[0] == ["ab", "cde"]
+    form = spark.createDataFrame([("  Élan １2 — «Naïve»…\x07 ",)], "t string")
+    assert form.select(X.perplexity_form(F.col("t"))).first()[0] == 'elan 00  -  "naive"...'
+    urls = spark.createDataFrame([("https://u@Sub.A.co.uk:80/x",), ("//b.org.",), ("nothing",), (None,)], "u string")
+    from vellum.operators import stats
+
+    assert [tuple(r) for r in urls.select(stats.host(F.col("u")).alias("h")).select("h", stats.suffix(F.col("h"))).collect()][:2] == [("sub.a.co.uk", "co.uk"), ("b.org", "org")]
+
+
+def test_seam_grams(spark):
+    q, a = "a b c d e", "f g h i j"
+    items = spark.createDataFrame([(1, a, q, "t")], "item_id long, label string, query string, task string")
+    docs = spark.createDataFrame([(1, "x b c d e f y"), (2, "d e f g h"), (3, "a b c d e"), (4, "f g h i j"), (5, "a b c")], "doc_id long, text string")
+
+    def found(**modes):
+        index = decontaminate.pair_index(items, "label", "query", n=5, **modes)
+        return sorted(r.doc_id for r in decontaminate.contaminated(docs, index, n=5).collect())
+
+    assert found() == [1, 2, 4] and found(query_grams=True) == [1, 2, 3, 4] and found(overlap_grams=False) == [4]
+
+
+def test_minhash_index_modes(spark):
+    def word(i):
+        return "".join(chr(97 + (i // 17**k) % 17) for k in range(3))
+
+    base = " ".join(word(i) for i in range(300))
+    near = base.replace(word(5), "other")
+    own = " ".join("z" + word(i) for i in range(300))
+    df = spark.createDataFrame([(1, base), (2, near), (3, own), (4, own), (5, "too short")], "doc_id long, text string")
+    old = spark.createDataFrame([(9, near)], "doc_id long, text string")
+    sigs, index = dedup.minhash_signatures(df), dedup.band_index(dedup.minhash_signatures(old))
+    assert {r.doc_id for r in dedup.minhash_dedup_against(df, sigs, index, only_index=True).collect()} == {3, 4, 5}
+    assert {r.doc_id for r in dedup.minhash_dedup_against(df, sigs, index).collect()} == {3, 5}
+    # a cluster goes whole where only some of it is known
+    far = index.where("band = -1").unionByName(sigs.where("doc_id = 2 and band = 0").select("band", "sig"))
+    lone = sigs.where("doc_id in (1, 2)").join(far.select("sig"), "sig", "left_semi").select("doc_id").distinct().count()
+    assert {r.doc_id for r in dedup.minhash_dedup_against(df, sigs, far).collect()} == {3, 5} and lone >= 1
+
+
 def test_steps(spark):
     df = spark.range(5)
     assert run_steps(df, [lambda x: x.where("id > 1"), lambda x: x.withColumn("two", F.lit(2))]).count() == 3

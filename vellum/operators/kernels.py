@@ -81,10 +81,10 @@ def gram_hashes(words: Sequence[str], n: int) -> np.ndarray:
 class Bitmap:
     """A Bloom filter of two probes over 64-bit hashes; its size follows their number within bounds.
 
-    Beyond ``MOST`` bits (64 MB) it lets more through; what passes is always checked by a join.
+    Beyond ``MOST`` bits (16 MB) it lets more through; what passes is always checked by a join.
     """
 
-    EACH, LEAST, MOST, SECOND = 16, 1 << 16, 1 << 29, U64(32)
+    EACH, LEAST, MOST, SECOND = 16, 1 << 16, 1 << 27, U64(32)
 
     def __init__(self, table: np.ndarray) -> None:
         self.table, self.last = table, U64(8 * len(table) - 1)
@@ -104,8 +104,14 @@ class Bitmap:
 
 
 def bitmap_of(hashes: DataFrame, column: str = "h") -> np.ndarray:
-    """The table of a ``Bitmap`` over a column of hashes; Spark sets the bits, whole words come back."""
-    bits = Bitmap.size(hashes.count())
+    """The table of a ``Bitmap`` over a column of hashes; Spark sets the bits, whole words come back.
+
+    Where there are more hashes than bits a filter is no use: a small one that lets all through is made.
+    """
+    n = hashes.count()
+    bits = Bitmap.size(n)
+    if n > bits:
+        return np.full(Bitmap.LEAST // 8, 255, dtype=np.uint8)
     both = hashes.select(F.explode(F.array(column, F.shiftrightunsigned(column, int(Bitmap.SECOND)))).alias("h"))
     word, bit = F.expr(f"cast(shiftright(h & {bits - 1}L, 6) as int)"), F.expr("shiftleft(1L, cast(h & 63L as int))")
     words = both.groupBy(word.alias("w")).agg(F.bit_or(bit).alias("b")).toPandas()

@@ -37,14 +37,28 @@ class BookOptions:
     sentence_span_words: int = 25
 
 
-def fingerprint(folders: dict[str, str]) -> str:
-    """SHA-256 over the names and contents of all input files."""
-    whole = hashlib.sha256()
+def fingerprint(spark: SparkSession, folders: dict[str, str]) -> str:
+    """SHA-256 over names, sizes and times of change of all input files, from their listing alone."""
+    parts = []
     for label, folder in sorted(folders.items()):
-        for f in sorted(Path(folder).rglob("*.jsonl*")):
-            whole.update(f"{label}/{f.relative_to(folder)}".encode())
-            whole.update(hashlib.sha256(f.read_bytes()).digest())
-    return whole.hexdigest()
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl*").load(folder)
+        parts.append(files.select(F.lit(label).alias("label"), "path", "length", F.col("modificationTime").cast("double").alias("changed")))
+    listed = routing.union_all(*parts)
+    row = listed.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("size"), F.bit_xor(F.xxhash64("label", "path", "length", "changed")).alias("h")).first()
+    return hashlib.sha256(f"{row['n']} {row['size']} {row['h']}".encode()).hexdigest()
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """``lines`` (relpath, block, at, raw) with each one's number in its file.
+
+    Lines are numbered inside their block of the file; the blocks' line counts, summed up per file,
+    go before.  So no task holds a file, however much of the corpus it is.
+    """
+    sizes = lines.groupBy("relpath", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("relpath").orderBy("block")) - F.col("n")
+    inner = F.row_number().over(Window.partitionBy("relpath", "block").orderBy("at"))
+    placed = lines.withColumn("inner", inner).join(sizes.select("relpath", "block", before.alias("before")), ["relpath", "block"])
+    return placed.withColumn("line", (F.col("before") + F.col("inner")).cast("long")).drop("inner", "before")
 
 
 class FolderRun:
@@ -57,7 +71,7 @@ class FolderRun:
     # -- state ---------------------------------------------------------------------------------
     def _open(self) -> dict:
         self.out.mkdir(parents=True, exist_ok=True)
-        state = {"options": json.loads(json.dumps(asdict(self.options))), "fingerprint": fingerprint(self.folders), "done": [], "stats": {}}
+        state = {"options": json.loads(json.dumps(asdict(self.options))), "fingerprint": fingerprint(self.spark, self.folders), "done": [], "stats": {}}
         if self.manifest.exists():
             if not self.resume:
                 raise FileExistsError(f"{self.manifest} exists; resume, or choose another folder")
@@ -98,7 +112,7 @@ class FolderRun:
         # written before it is numbered, so that the numbers stand on fixed rows
         staged = self._table("lines")
         lines.write.mode("overwrite").parquet(staged)
-        numbered = self.spark.read.parquet(staged).withColumn("line", F.row_number().over(Window.partitionBy("relpath").orderBy("block", "at")))
+        numbered = numbered_lines(self.spark.read.parquet(staged))
         numbered = numbered.where(X.strip(F.col("raw")) != "")
         checked = routing.validate_lines(numbered, "raw", "relpath", "line")
         order = F.concat_ws("#", "relpath", F.lpad(F.col("line").cast("string"), 12, "0"))
@@ -147,10 +161,12 @@ class FolderRun:
         def near() -> DataFrame:
             ids = kept.withColumn("doc_id", F.xxhash64("doc_ord"))
             clusters = dedup.minhash_clusters(dedup.minhash_signatures(ids))
-            joined = ids.join(clusters, "doc_id", "left")
-            first = joined.groupBy("minhash_cluster_id").agg(F.min("doc_ord").alias("first"))
-            marked = joined.join(first, "minhash_cluster_id", "left").where(F.col("minhash_cluster_id").isNull() | (F.col("doc_ord") == F.col("first")))
-            return marked.drop("first", "doc_id")
+            # only clustered rows are joined and grouped; all others pass by
+            members = ids.select("doc_id", "doc_ord").join(clusters, "doc_id")
+            first = members.groupBy("minhash_cluster_id").agg(F.min("doc_ord").alias("first"))
+            lost = members.join(first, "minhash_cluster_id").where(F.col("doc_ord") != F.col("first")).select("doc_id")
+            kept_ids = ids.join(lost, "doc_id", "left_anti").join(clusters, "doc_id", "left")
+            return kept_ids.drop("doc_id")
 
         survivors = self._stage(state, "minhash_dedup", near)
 
@@ -159,9 +175,13 @@ class FolderRun:
                 staged.where("filter_reason is not null").select("uid", "relpath", "line", "text", "filter_reason", F.lit("input").alias("exclusion_stage")),
                 gated.where("filter_reason is not null").select("uid", "relpath", "line", "text", "filter_reason", F.lit("book_quality").alias("exclusion_stage")),
             ]
-            for before, after, name in ((passed, exact, "exact_dedup"), (exact, kept, "sentence_dedup"), (kept, survivors, "minhash_dedup")):
+            unsaid = F.lit(None).cast("string")
+            for before, after, name, said in (
+                (passed, exact, "exact_dedup", unsaid), (sentenced, kept, "sentence_dedup", F.col("filter_reason")), (kept, survivors, "minhash_dedup", unsaid),
+            ):
                 lost = routing.dropped_between(before, after, "uid")
-                gone.append(lost.select("uid", "relpath", "line", "text", F.lit(name).alias("filter_reason"), F.lit(name).alias("exclusion_stage")))
+                reason = routing.final_reason(F.lit(name), F.lit(name), said)
+                gone.append(lost.select("uid", "relpath", "line", "text", reason.alias("filter_reason"), F.lit(name).alias("exclusion_stage")))
             none = F.lit(None).cast("string")
             alive = survivors.select("uid", "relpath", "line", "text", none.alias("filter_reason"), none.alias("exclusion_stage"))
             return routing.route(alive, routing.union_all(*gone))
