@@ -473,3 +473,26 @@ def test_empty_tables(awkward, others):
     none = [x.limit(0) for x in others]
     for df in operators(awkward.limit(0), *none):
         assert df.count() == 0
+
+
+def test_page_numbers_come_in_sequence():
+    assert [scanned.page_value(x) for x in ("12", "l2", "xiv", "S0", "iv", "|")] == [12, 12, 14, 50, 4, 1]
+    values = [3, 4, 9, 5, 6, 6, 7]
+    assert [values[k] for k in scanned.rising(values)] == [3, 4, 5, 6, 7] and scanned.rising([]) == [] and len(scanned.rising([5, 5, 4])) == 1
+    body = ["The keeper of the long lane counted every lamp and wrote the sum", "into his ledger before the frost came down on the northern mill,", "and nobody in the house by the river asked him for his reasons."]
+
+    def numbers(values):
+        lines = [x for v in values for x in (*body, v)]
+        return {lines[i] for i, role in enumerate(scanned.Pages("\n".join(lines + body)).roles) if role == "page_number"}
+
+    assert numbers(["21", "22", "2E", "23", "24"]) == {"21", "22", "23", "24"}
+    assert numbers(["21", "22", "79", "23", "24"]) == {"21", "22", "79", "23", "24"}  # misread in its sequence
+    assert numbers(["7", "7", "7", "7"]) == set() == numbers(["9", "8", "7", "6"])
+
+
+def test_why_a_text_is_cut(spark):
+    whole = "The frost came early. Nobody lit the lamps. "
+    rows = [(1, whole + "Then the keeper went", "a"), (2, whole + "Then the keeper went,", "a"), (3, whole.strip(), "a"), (4, None, "a"), (5, " ", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: (r.reason, r.cut) for r in truncation.judged(df).collect()}
+    assert got == {1: ("transfer", True), 2: ("broken", True), 3: (None, False)}

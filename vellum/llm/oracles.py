@@ -83,6 +83,7 @@ SELECT source, unit, length::BIGINT AS length, ends, reach::BIGINT AS reach, rou
 FROM k WHERE log_p <= (SELECT bar FROM b)"""
 
 ORACLES: dict[str, str] = {
+    "p2_found": f"SELECT doc_id FROM ({P2_SHARES}) WHERE folded_chars > 0 AND repeated_chars >= 0.3 * folded_chars",
     "p2_shares": P2_SHARES,
     "p4_found": _P4 + "SELECT * FROM f",
     "p4_coverage": _P4 + """, g AS (SELECT doc_id, count(*) AS n, sum(end_pos - start_pos) AS c FROM f GROUP BY doc_id)
